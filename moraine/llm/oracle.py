@@ -25,4 +25,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-SQL = {"op8_decontamination": OP8}
+OP6 = f"""
+WITH d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS p FROM (SELECT doc_id, w, UNNEST(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY p ORDER BY doc_id, i) AS r FROM win) WHERE r > 1),
+hit AS (SELECT DISTINCT doc_id, UNNEST(range(i, i + 20)) AS pos FROM late),
+gone AS (SELECT doc_id, count(*) AS n, list(pos) AS ps FROM hit GROUP BY doc_id),
+word AS (SELECT doc_id, UNNEST(w) AS x, UNNEST(range(1, len(w) + 1)) AS pos FROM d WHERE len(w) > 0),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY pos) AS t FROM word ANTI JOIN hit USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+SQL = {
+    "op6_substring_dedup": OP6,
+    "op8_decontamination": OP8,
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.llm import decontaminate, sharding, substring_dedup
+from moraine.llm import decontaminate, license_scan, sharding, substring_dedup
 from moraine.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_license_scan": op2_license_scan,
         "op6_substring_dedup": op6_substring_dedup,
         "op8_decontamination": op8_decontamination,
     }

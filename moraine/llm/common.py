@@ -29,3 +29,14 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Most rows of ids (16 bytes each, or fewer) that are sent whole to every task; more of them are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def checked(ids: DataFrame, rows: int | None = None) -> DataFrame:
+    """``ids`` (a written table of a few narrow columns) with a broadcast hint if its counted rows allow it."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(ids) if (ids.count() if rows is None else rows) <= BROADCAST_ROWS else ids

@@ -37,7 +37,25 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+_LOWERED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+OP10 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_LOWERED} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(len(w), 5) - 1), ' ') AS g
+  FROM (SELECT doc_id, w, UNNEST(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS MATERIALIZED (SELECT a, b FROM i JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * x >= 85 * (na.n + nb.n - x)),
+r AS (SELECT a AS doc_id, a AS c FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.c = e.a),
+m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(c, d.doc_id)) AS component_id, d.doc_id <= coalesce(c, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
 SQL = {
     "op6_substring_dedup": OP6,
     "op8_decontamination": OP8,
+    "op10_near_dedup": OP10,
 }

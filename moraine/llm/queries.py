@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.llm import decontaminate, license_scan, sharding, substring_dedup
+from moraine.llm import decontaminate, license_scan, near_dedup, sharding, substring_dedup
 from moraine.llm.common import table
 
 
@@ -26,10 +26,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents"), percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op2_license_scan": op2_license_scan,
         "op6_substring_dedup": op6_substring_dedup,
         "op8_decontamination": op8_decontamination,
+        "op10_near_dedup": op10_near_dedup,
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.llm import decontaminate, license_scan, near_dedup, sharding, substring_dedup
+from moraine.llm import decontaminate, license_scan, near_dedup, sharding, substring_dedup, toxicity
 from moraine.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op2_license_scan": op2_license_scan,
+        "op5_toxicity": op5_toxicity,
         "op6_substring_dedup": op6_substring_dedup,
         "op8_decontamination": op8_decontamination,
         "op10_near_dedup": op10_near_dedup,

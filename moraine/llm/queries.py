@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.llm import decontaminate, license_scan, near_dedup, sharding, substring_dedup, toxicity
+from moraine.llm import decontaminate, license_scan, near_dedup, packing, sentencepiece_lattice, sharding, substring_dedup, toxicity
 from moraine.llm.common import table
 
 
@@ -26,10 +26,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_lattice.encode(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), percent=85)
 
@@ -40,6 +48,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_license_scan": op2_license_scan,
         "op5_toxicity": op5_toxicity,
         "op6_substring_dedup": op6_substring_dedup,
+        "op7_sentencepiece": op7_sentencepiece,
         "op8_decontamination": op8_decontamination,
+        "op9_packing": op9_packing,
         "op10_near_dedup": op10_near_dedup,
     }

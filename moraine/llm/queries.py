@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.llm import decontaminate, license_scan, near_dedup, packing, sentencepiece_lattice, sharding, substring_dedup, toxicity
+from moraine.llm import ann, decontaminate, license_scan, near_dedup, packing, sentencepiece_lattice, sharding, substring_dedup, toxicity
 from moraine.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op2_license_scan": op2_license_scan,
+        "op3_ann": op3_ann,
         "op5_toxicity": op5_toxicity,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_sentencepiece": op7_sentencepiece,

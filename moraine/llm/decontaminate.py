@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moraine.llm.common import checked, written
 from moraine.llm.words import ALNUM_TABLE, slices
 
 WINDOW = 13
@@ -272,3 +273,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
+    """``docs`` without the contaminated ones; all others stay as they are."""
+    gone = written(decontaminate(docs, benchmark, key=key, **options).filter("contaminated and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(checked(gone), F.col(key).cast("long") == F.col("_gone"), "left_anti")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.llm import ann, decontaminate, license_scan, near_dedup, packing, sentencepiece_lattice, sharding, substring_dedup, toxicity
+from moraine.llm import ann, decontaminate, html_extract, license_scan, near_dedup, packing, sentencepiece_lattice, sharding, substring_dedup, toxicity
 from moraine.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sharding": op1_sharding,
         "op2_license_scan": op2_license_scan,
         "op3_ann": op3_ann,
+        "op4_html_extraction": op4_html_extraction,
         "op5_toxicity": op5_toxicity,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_sentencepiece": op7_sentencepiece,

@@ -176,12 +176,19 @@ def _runs(node: Node) -> list[list[Node]]:
     return out
 
 
-def align(template: Template, node: Node, places: dict[int, Template]) -> None:
-    """Matches a page's node with its template node, child by child in order; what has no match joins the template."""
+def align(template: Template, root: Node, places: dict[int, Template]) -> None:
+    """Matches a page's nodes with the template's from the root down; what has no match joins the template."""
+    todo = [(template, root)]
+    while todo:
+        todo += _children(*todo.pop(), places)[::-1]
+
+
+def _children(template: Template, node: Node, places: dict[int, Template]) -> list[tuple[Template, Node]]:
+    """Aligns two nodes' children in order, and gives the pairs."""
     places[id(node)] = template
     runs = _runs(node)
     if not runs:
-        return
+        return []
     old = template.children
     m, n = len(old), len(runs)
     head = 0
@@ -213,12 +220,12 @@ def align(template: Template, node: Node, places: dict[int, Template]) -> None:
         pairs += [(t, None) for t in middle] + [(None, r) for r in rest]
     if tail:
         pairs += zip(old[m - tail :], runs[n - tail :])
-    template.children = []
+    template.children, out = [], []
     for t, run in pairs:
         t = t or Template(run[0].key)
         template.children.append(t)
-        for member in run or ():
-            align(t, member, places)
+        out += [(t, member) for member in run or ()]
+    return out
 
 
 def pieces(root: Node, places: dict[int, Template]) -> list[Piece]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -150,11 +151,15 @@ def apply_cdc_events(
             target = target.withColumn("_lsn", F.lit(None).cast("long")).withColumn("_deleted", F.lit(False))
         seen = Observation()
         frame = merged(target, changes, table.primary_key, guard_lsn=guard_lsn)
-        frame = frame.observe(seen, *[F.count(F.when(F.col("_action") == a, 1)).alias(n) for a, n in (("insert", "inserted"), ("update", "updated"), ("delete", "deleted"))])
+        counts = [F.count(F.when(F.col("_action") == a, 1)).alias(n) for a, n in (("insert", "inserted"), ("update", "updated"), ("delete", "deleted"))]
+        plain, frame = frame, frame.observe(seen, *counts)
         out = survivors(frame, guard_lsn=guard_lsn).withColumn(BUCKET, bucket_of([table.primary_key], count))
 
         def metrics() -> dict[str, int]:
-            got = dict(seen.get)
+            try:
+                got = dict(seen.get)
+            except Py4JJavaError:  # nothing was observed where nothing was left to write
+                got = plain.agg(*counts).first().asDict()
             return {"input_events": counted["n"], **got, "skipped": max(counted["n"] - sum(got.values()), 0)}
 
         if last:

@@ -55,7 +55,7 @@ class VersionedTable:
         versions = self._versions()
         if not versions:
             raise FileNotFoundError(f"no table at {self.path}")
-        text = "".join(r[0] for r in self.spark.read.text(f"{self.path}/_commits/{versions[-1] if version is None else version}.json", wholetext=True).collect())
+        text = "".join(r[0] for r in self.spark.read.text(f"{self.path}/_commits/{versions[-1] if version is None else version:09d}.json", wholetext=True).collect())
         return Commit(**json.loads(text))
 
     def history(self) -> list[Commit]:

@@ -148,27 +148,38 @@ GROUP = "tree int, leaf int, part int, block int, query boolean, ids array<long>
 
 
 def _best(group: pd.DataFrame, keep: int) -> pd.DataFrame:
-    """For each query of a leaf's part, the nearest classes in it, by exact distance and then smallest id."""
+    """For each query of a leaf's part, the nearest classes in it, by exact distance and then smallest id.
+
+    Products of matrices screen the rows, with a margin above their rounding;
+    what passes is measured component by component.
+    """
     asked, rows = group[group["query"]], group[~group["query"]]
     names = [i[0] for i in asked["ids"]]
+    if not len(asked) or not len(rows):
+        return pd.DataFrame({"query": names, "scores": [[] for _ in names], "found": [[] for _ in names]})
+    q, r, ids = _matrix(asked["vector"].tolist()), _matrix(rows["vector"].tolist()), [list(i) for i in rows["ids"]]
+    first = np.array([i[0] for i in ids])
+    r2 = (r * r).sum(axis=1)
     scores: list[list[float]] = []
     found: list[list[list[int]]] = []
-    if len(asked) and len(rows):
-        q, r, ids = _matrix(asked["vector"].tolist()), _matrix(rows["vector"].tolist()), [list(i) for i in rows["ids"]]
-        first = np.array([i[0] for i in ids])
-        block = max(1, 2_000_000 // max(1, r.size))
-        for a in range(0, len(q), block):
-            d = q[a : a + block, None, :] - r[None]
-            distance = np.sqrt((d * d).sum(axis=2))
-            for line in distance:
-                near = np.arange(len(line))
-                if len(line) > keep:
-                    near = np.flatnonzero(line <= np.partition(line, keep - 1)[keep - 1])
-                near = near[np.lexsort((first[near], line[near]))][:keep]
-                scores.append(line[near].tolist())
-                found.append([ids[k] for k in near.tolist()])
-    else:
-        scores, found = [[] for _ in names], [[] for _ in names]
+    block = max(1, 4_000_000 // len(r))
+    for a in range(0, len(q), block):
+        part = q[a : a + block]
+        p2 = (part * part).sum(axis=1)
+        rough = p2[:, None] + r2 - 2 * (part @ r.T)
+        limit = np.full(len(part), np.inf)
+        if len(r) > keep:
+            limit = np.partition(rough, keep - 1, axis=1)[:, keep - 1] + 1e-9 * (p2 + r2.max())
+        line, near = np.nonzero(rough <= limit[:, None])
+        d = part[line] - r[near]
+        distance = np.sqrt((d * d).sum(axis=1))
+        order = np.lexsort((first[near], distance, line))
+        line, near, distance = line[order], near[order], distance[order]
+        cuts = np.searchsorted(line, np.arange(len(part) + 1)).tolist()
+        for x, y in zip(cuts, cuts[1:]):
+            y = min(y, x + keep)
+            scores.append(distance[x:y].tolist())
+            found.append([ids[k] for k in near[x:y].tolist()])
     return pd.DataFrame({"query": names, "scores": scores, "found": found})
 
 

@@ -11,8 +11,9 @@
 4. In each bucket all remaining members are paired with its most central one
    (fewest shingles of its own). Pairs pass the bounds, then the b-bit estimate
    with a margin of six standard deviations, then the exact test. What is
-   linked is one component; the members of a bucket that are still in
-   different components are then paired with each other under the same tests.
+   linked is one component. Members of one bucket that are still in different
+   components are paired under the same tests and one more: how many of their
+   rarest shingles they share bounds how many they can share at all.
 5. Components are found by rounds of large-star and small-star.
 
 With 32 bands of 5 rows a pair of similarity 0.85 (0.8) meets in no bucket
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from moraine.llm.common import checked, written
@@ -36,6 +38,8 @@ SHINGLE = 5
 BANDS = 32
 ROWS = 5
 BITS = 4
+#: Shingles of a member that pairs are bounded by before their sets are compared.
+HEAD = 64
 PIECE = 4_000_000
 _PER_LONG = 64 // BITS
 _LONGS = -(-BANDS * ROWS // _PER_LONG)
@@ -158,6 +162,21 @@ def _confirmed(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: i
     return written(both.filter(_possible(shared, F.size("x"), F.size("y"), percent)).select("a", "b"))
 
 
+def _heads(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, n, own, head, last``: each member's rarest shared shingles in an order common to all, and the place of the last.
+
+    A shingle of another's that comes no later than the own head's last is in
+    that head or not in the set at all.
+    """
+    each = members.join(sets, "id").select("id", "n", "own", F.explode("shingles").alias("s"))
+    often = written(each.groupBy("s").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"))
+    shared = each.join(often, "s")
+    alone = members.select("id", "n", "own").join(shared.groupBy("id").agg(F.count(F.lit(1)).alias("shared")), "id").select("id", "n", (F.col("n") - F.col("shared")).alias("own"))
+    first = shared.withColumn("place", F.row_number().over(W.partitionBy("id").orderBy("often", "s"))).filter(F.col("place") <= HEAD)
+    heads = first.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "s"))).alias("h"))
+    return alone.join(heads, "id").select("id", "n", "own", F.col("h.s").alias("head"), F.element_at("h", -1).alias("last"))
+
+
 def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80, k: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: every row with the smallest id its links reach.
 
@@ -206,11 +225,22 @@ def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent:
         # Members of one bucket that are still apart.
         placed = written(viable.join(written(found), "id", "left").withColumn("component", F.coalesce("component", "id")))
         split = written(placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket"))
-        apart = placed.join(split, "bucket")
-        left = apart.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "own", "component")])
-        right = apart.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "own", "component")])
+        apart = written(placed.join(split, "bucket").select("bucket", "id", "component"))
+        known = written(_heads(apart.select("id").distinct().join(members, "id"), sets).join(rows.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "bands"), "id"))
+        known = apart.join(known, "id")
+        left, right = (known.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in known.columns if c != "bucket"]) for side in "ab")
         reach = F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))
-        rest = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("id_a") < F.col("id_b")) & (F.col("component_a") != F.col("component_b")) & _possible(reach, F.col("n_a"), F.col("n_b"), percent))
+        # What stands behind the head that ends first can be shared too, but nothing more of that head.
+        tail = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a") - F.size("head_a") - F.col("own_a")).otherwise(F.col("n_b") - F.size("head_b") - F.col("own_b"))
+        rest = left.join(
+            right,
+            (left["bucket"] == right["bucket"])
+            & (F.col("id_a") < F.col("id_b"))
+            & (F.col("component_a") != F.col("component_b"))
+            & _possible(reach, F.col("n_a"), F.col("n_b"), percent)
+            & (F.get(F.array_intersect("bands_a", "bands_b"), 0) == left["bucket"])  # a pair is made in the first bucket that it shares
+            & _possible(F.size(F.array_intersect("head_a", "head_b")) + tail, F.col("n_a"), F.col("n_b"), percent),
+        )
         more = _confirmed(rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), members, sets, percent)
         if not more.isEmpty():
             found = components(edges.union(more))

@@ -15,14 +15,15 @@ piece may stand after the path's last one.
 ``lexicon`` does this relationally: it explodes the substrings of the most
 frequent units, joins them with the pieces, groups the edges by unit, and
 folds with Spark's ``aggregate``. Its result is bounded and travels to the
-tasks; ``encode`` reads all texts in one scan, looks units up, and runs the
-same fold on those that the lexicon doesn't have. Which units it has changes
-no result.
+tasks; ``encode`` reads all texts in one scan, looks units up, and searches
+the same lattice for those that the lexicon doesn't have. Which units it has
+changes no result.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,10 +41,10 @@ LEXICON = 20_000
 SAMPLE_ROWS = 5_000
 LONGEST = 24
 #: Units that a task remembers.
-MEMORY = 400_000
+MEMORY = 500_000
 PIECE = 1_000_000
 
-_UNITS = re.compile(" *[^ ]+| +")
+_UNITS = re.compile(" *[^ \n]+| +|\n")
 _MARK = "▁"
 #: Stands for a mark that is in the text itself; no text can hold a lone surrogate.
 _OWN_MARK = "\ud800"
@@ -59,8 +60,11 @@ class Pieces:
     table: list[bytes]
     longest: int
     alone: dict[str, bool] = field(default_factory=dict)
-    pairs: dict[tuple[int, int], bool] = field(default_factory=dict)
+    pairs: dict[int, bool] = field(default_factory=dict)
+    paths: dict[str, list[int]] = field(default_factory=dict)
     text: dict[int, str] = field(default_factory=dict)
+    steps: dict[str, int] = field(default_factory=dict)
+    inside: set[str] = field(default_factory=set)
 
     def merged(self, symbols: list[str]) -> list[str]:
         """What the model makes of a short string: the best neighbours merge, the leftmost of equals first."""
@@ -82,32 +86,71 @@ class Pieces:
         return self.alone[piece]
 
     def may_follow(self, a: int, b: int) -> bool:
-        if (a, b) not in self.pairs:
-            if len(self.pairs) > MEMORY:
-                self.pairs.clear()
-            x, y = self.text[a], self.text[b]
-            self.pairs[a, b] = self.merged(list(x + y)) == [x, y]
-        return self.pairs[a, b]
+        x, y = self.text[a], self.text[b]
+        return self.merged(list(x + y)) == [x, y]
+
+    def prepare(self) -> Pieces:
+        """Every prefix of a piece that the model makes, with the piece's id or -1; and the neighbours inside pieces."""
+        for s, i in self.ids.items():
+            if self.stands(s):
+                for k in range(1, len(s)):
+                    self.steps.setdefault(s[:k], -1)
+                    self.inside.add(s[k - 1 : k + 1])
+                self.steps[s] = i
+        return self
 
     def path(self, part: str) -> list[int]:
-        """Of a string whose characters are all pieces."""
-        n = len(part)
-        last, begin = [-1] * (n + 1), [-1] * (n + 1)
-        begin[0] = 0
-        for end in range(1, n + 1):
-            for b in range(max(0, end - self.longest), end):
-                if begin[b] < 0:
-                    continue
-                s = part[b:end]
-                piece = self.ids.get(s)
-                if piece is not None and self.stands(s) and (b == 0 or self.may_follow(last[b], piece)):
-                    last[end], begin[end] = piece, b
+        """Of a string whose characters are all pieces: through the lattice depth first, the longest edge first.
+
+        A place that a path had to go back from is on no whole path, since
+        only one path of pieces that may follow each other reaches it.
+        """
+        n, step, pairs = len(part), self.steps.get, self.pairs
+        out: list[int] = []
+        open_edges: list[tuple[int, list[tuple[int, int]]]] = []
+        dead = set()
+        here = 0
+        while here < n:
+            edges = []
+            for end in range(here + 1, n + 1):
+                piece = step(part[here:end])
+                if piece is None:
                     break
-        out, end = [], n
-        while end:
-            out.append(last[end])
-            end = begin[end]
-        return out[::-1]
+                if piece >= 0:
+                    edges.append((end, piece))
+            while True:
+                if not edges:
+                    dead.add(here)
+                    here, edges = open_edges.pop()
+                    out.pop()
+                    continue
+                end, piece = edges.pop()
+                if end in dead:
+                    continue
+                if out:
+                    pair = out[-1] << 20 | piece
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        if len(pairs) > MEMORY:
+                            pairs.clear()
+                        fits = pairs[pair] = self.may_follow(out[-1], piece)
+                    if not fits:
+                        continue
+                out.append(piece)
+                open_edges.append((here, edges))
+                here = end
+                break
+        return out
+
+    def known_path(self, part: str) -> list[int]:
+        out = self.paths.get(part)
+        if out is None:
+            if len(self.paths) >= MEMORY // 2:
+                self.paths.clear()
+            out = self.path(part)
+            if len(part) <= 64:
+                self.paths[part] = out
+        return out
 
     def unit(self, unit: str) -> list[int]:
         body = unit.lstrip(" ")
@@ -121,15 +164,17 @@ class Pieces:
             else:
                 run, tail = spaces, rest[1:]
             return [*self.spaces(run), *tail]
-        part = ""
-        for c in unit:
-            if c in self.ids:
-                part += c
-                continue
-            out += self.path(part)
-            out += [self.bytes[b] for b in (_MARK if c == _OWN_MARK else c).encode("utf-8", "surrogatepass")]
-            part = ""
-        return out + self.path(part)
+        begin = 0
+        for k, c in enumerate(unit):
+            if c not in self.ids:
+                if begin < k:
+                    out += self.known_path(unit[begin:k])
+                out += [self.bytes[b] for b in (_MARK if c == _OWN_MARK else c).encode("utf-8", "surrogatepass")]
+                begin = k + 1
+            elif begin < k and unit[k - 1 : k + 1] not in self.inside:  # no piece crosses this place
+                out += self.known_path(unit[begin:k])
+                begin = k
+        return out + self.known_path(unit[begin:]) if begin < len(unit) else out
 
     def spaces(self, n: int) -> list[int]:
         """A run of spaces. All its merges have one score, so the leftmost grows first: whole longest pieces, then the rest."""
@@ -155,7 +200,7 @@ def pieces(model: str = MODEL) -> Pieces:
             plain = piece.replace(_MARK, " ")
             ids[plain], scores[plain] = i, m.get_score(i)
             table.append(plain.encode())
-    return Pieces(ids, scores, raw, table, max(map(len, ids)), text={i: s for s, i in ids.items()})
+    return Pieces(ids, scores, raw, table, max(map(len, ids)), text={i: s for s, i in ids.items()}).prepare()
 
 
 def units(text: str) -> list[str]:
@@ -170,10 +215,11 @@ def lexicon(docs: DataFrame, table: Pieces, *, text: str = "text", size: int = L
     """
     spark = docs.sparkSession
     known = spark.createDataFrame(pd.DataFrame([(s, i) for s, i in table.ids.items() if table.stands(s)], columns=["s", "piece"]))
+    share = min(1.0, rows / max(1, docs.count()))
     found = (
         docs.select(F.col(text).alias("t"))
-        .limit(rows)
-        .select(F.explode(F.regexp_extract_all(F.concat(F.lit(" "), "t"), F.lit(" [^ ]+"), 0)).alias("unit"))
+        .filter(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < share * 1_000_000)
+        .select(F.explode(F.regexp_extract_all(F.concat(F.lit(" "), "t"), F.lit(" [^ \\n]+"), 0)).alias("unit"))
         .filter((F.length("unit") <= LONGEST) & ~F.contains(F.col("unit"), F.lit(_MARK)))
         .groupBy("unit")
         .count()
@@ -205,24 +251,28 @@ def lexicon(docs: DataFrame, table: Pieces, *, text: str = "text", size: int = L
     return lattice.select("unit", F.element_at(paths, -1).alias("ids")).filter(F.size("ids") > 0)
 
 
-class Encoder:
-    """Remembers units; those it doesn't know get their own lattice."""
+class Encoder(dict):
+    """Units with their ids as bytes; those it doesn't know get their own lattice and are remembered for a while."""
 
     def __init__(self, table: Pieces, known: dict[str, bytes]):
-        self.table, self.known, self.own = table, known, {}
+        super().__init__(known)
+        self.table, self.known = table, known
+        self.before: dict[str, bytes] = {}
 
-    def __getitem__(self, unit: str) -> bytes:
-        out = self.known.get(unit) or self.own.get(unit)
+    def __missing__(self, unit: str) -> bytes:
+        out = self.before.get(unit)
         if out is None:
-            if len(self.own) >= MEMORY:
-                self.own.clear()
-            out = np.array(self.table.unit(unit), np.int32).tobytes()
-            if len(unit) <= 64:
-                self.own[unit] = out
+            out = array("i", self.table.unit(unit)).tobytes()
+        if len(self) >= MEMORY // 2:  # what isn't met again in one generation is forgotten with it
+            self.before = dict(self)
+            self.clear()
+            self.update(self.known)
+        if len(unit) <= 64:
+            self[unit] = out
         return out
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join([self[u] for u in units(text or "")]), np.int32)
+        return np.frombuffer(b"".join(map(self.__getitem__, units(text or ""))), np.int32)
 
 
 def decode(table: list[bytes], ids: list[int]) -> str:

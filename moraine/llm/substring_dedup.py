@@ -41,7 +41,7 @@ MARGIN = 3
 #: Longest symbol of round two, in words.
 SPAN = 4
 #: Bytes of text that a task compares at a time.
-PIECE = 8_000_000
+PIECE = 3_000_000
 
 PAYLOAD = "bucket int, name binary, doc binary, start binary, count binary, hash binary, known_doc binary, known_begin binary, known_end binary"
 

@@ -126,18 +126,23 @@ def _usable(embedding: Column) -> Column:
     return embedding.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(embedding, lambda x: x != 0)
 
 
-def _matrix(column: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.float64).reshape(len(column), -1)
+def _matrix(column: list[bytes], kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype(np.float64)
+
+
+def _packed(column: pa.ListArray) -> list[bytes]:
+    """The components of vectors of one length as bytes, with one zero only."""
+    return [v.tobytes() for v in np.asarray(column.flatten()).reshape(len(column), -1) + 0.0]
 
 
 def classes(vectors: DataFrame, keep: int) -> DataFrame:
-    """``vector, ids``: each distinct vector (as bytes) and its ``keep`` smallest ids, combined before the shuffle."""
+    """``vector, ids``: each distinct vector (as bytes) and its ``keep`` smallest ids, combined before the shuffle. All vectors have one length."""
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own: dict[bytes, list[int]] = {}
-            for i, v in zip(batch.column("id").to_pylist(), batch.column("vector").to_pylist()):
-                own.setdefault((np.array(v, np.float64) + 0.0).tobytes(), []).append(i)
+            for i, v in zip(batch.column("id").to_pylist(), _packed(batch.column("vector")) if batch.num_rows else ()):
+                own.setdefault(v, []).append(i)
             yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array([sorted(set(i))[:keep] for i in own.values()], pa.list_(pa.int64()))], names=["vector", "ids"])
 
     few = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep)
@@ -147,21 +152,20 @@ def classes(vectors: DataFrame, keep: int) -> DataFrame:
 GROUP = "tree int, leaf int, part int, block int, query boolean, ids array<long>, vector binary"
 
 
-def _best(group: pd.DataFrame, keep: int) -> pd.DataFrame:
-    """For each query of a leaf's part, the nearest classes in it, by exact distance and then smallest id.
+def _best(group: pd.DataFrame, keep: int, kind: str) -> pd.DataFrame:
+    """For each query of a leaf's part, the ``keep`` nearest rows in it, by exact distance and then id.
 
     Products of matrices screen the rows, with a margin above their rounding;
     what passes is measured component by component.
     """
     asked, rows = group[group["query"]], group[~group["query"]]
     names = [i[0] for i in asked["ids"]]
+    out: list[tuple[int, float, int]] = []
     if not len(asked) or not len(rows):
-        return pd.DataFrame({"query": names, "scores": [[] for _ in names], "found": [[] for _ in names]})
-    q, r, ids = _matrix(asked["vector"].tolist()), _matrix(rows["vector"].tolist()), [list(i) for i in rows["ids"]]
+        return pd.DataFrame(out, columns=["query", "score", "vec_id"])
+    q, r, ids = _matrix(asked["vector"].tolist(), kind), _matrix(rows["vector"].tolist(), kind), [list(i) for i in rows["ids"]]
     first = np.array([i[0] for i in ids])
     r2 = (r * r).sum(axis=1)
-    scores: list[list[float]] = []
-    found: list[list[list[int]]] = []
     block = max(1, 4_000_000 // len(r))
     for a in range(0, len(q), block):
         part = q[a : a + block]
@@ -176,11 +180,11 @@ def _best(group: pd.DataFrame, keep: int) -> pd.DataFrame:
         order = np.lexsort((first[near], distance, line))
         line, near, distance = line[order], near[order], distance[order]
         cuts = np.searchsorted(line, np.arange(len(part) + 1)).tolist()
-        for x, y in zip(cuts, cuts[1:]):
-            y = min(y, x + keep)
-            scores.append(distance[x:y].tolist())
-            found.append([ids[k] for k in near[x:y].tolist()])
-    return pd.DataFrame({"query": names, "scores": scores, "found": found})
+        for name, x, y in zip(names[a : a + block], cuts, cuts[1:]):
+            y = min(y, x + keep)  # each class has a row at least
+            found = sorted((s, i) for s, k in zip(distance[x:y].tolist(), near[x:y].tolist()) for i in ids[k])
+            out += [(name, s, i) for s, i in found[:keep]]
+    return pd.DataFrame(out, columns=["query", "score", "vec_id"])
 
 
 def search(vectors: DataFrame, *, key: str = "vec_id", embedding: str = "embedding", every: int = 100, k: int = 10, sample: int = SAMPLE, trees: int = TREES, leaf: int = LEAF, share: float = SHARE) -> DataFrame:
@@ -194,7 +198,9 @@ def search(vectors: DataFrame, *, key: str = "vec_id", embedding: str = "embeddi
     """
     spark = vectors.sparkSession
     keep = k + 1
-    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("vector")).filter(F.col("id").isNotNull() & _usable(F.col("vector")))
+    # Single-precision components travel as they are; all arithmetic is in double precision.
+    width, kind = ("float", "<f4") if vectors.schema[embedding].dataType.simpleString() == "array<float>" else ("double", "<f8")
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(embedding).cast(f"array<{width}>").alias("vector")).filter(F.col("id").isNotNull() & _usable(F.col("vector")))
     sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if sizes is None:
@@ -204,7 +210,7 @@ def search(vectors: DataFrame, *, key: str = "vec_id", embedding: str = "embeddi
     n = table.count()
     hashed = F.pmod(F.xxhash64(F.get("ids", 0)), F.lit(1_000_000_000))
     few = table.filter(hashed < int(min(1.0, sample / n) * 1_000_000_000)).select(F.get("ids", 0).alias("id"), "vector").limit(2 * sample).collect()
-    points = _matrix([bytes(r["vector"]) for r in sorted(few, key=lambda r: r["id"])]) if few else np.zeros((0, sizes["size"]))
+    points = _matrix([bytes(r["vector"]) for r in sorted(few, key=lambda r: r["id"])], kind) if few else np.zeros((0, sizes["size"]))
     grown = forest(points, trees, leaf)
     visits = max(VISITS, math.ceil(share * sum(t.leaves for t in grown)))
     shared = spark.sparkContext.broadcast(grown)
@@ -212,7 +218,8 @@ def search(vectors: DataFrame, *, key: str = "vec_id", embedding: str = "embeddi
     # Each query's class is searched for once, however many queries it holds.
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([(np.array(v, np.float64) + 0.0).tobytes() for v in batch.column("vector").to_pylist()], pa.binary())], names=["id", "vector"])
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(_packed(batch.column("vector")), pa.binary())], names=["id", "vector"])
 
     asking = rows.filter(F.col("id") % every == 0).mapInArrow(bytes_of, "id long, vector binary").distinct()
     asking = written(asking.join(table, "vector").select("id", F.get("ids", 0).alias("query"), "vector"))
@@ -220,20 +227,30 @@ def search(vectors: DataFrame, *, key: str = "vec_id", embedding: str = "embeddi
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column("vector").to_pylist())
+            x = _matrix(batch.column("vector").to_pylist(), kind) if batch.num_rows else np.zeros((0, 1))
             for t, tree in enumerate(shared.value):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(route(tree, x).astype(np.int32)), batch.column("ids"), batch.column("vector")], names=["tree", "leaf", "ids", "vector"])
 
+    def sizes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = [np.zeros(tree.leaves, np.int64) for tree in shared.value]
+        for batch in batches:
+            x = _matrix(batch.column("vector").to_pylist(), kind) if batch.num_rows else np.zeros((0, 1))
+            for t, tree in enumerate(shared.value):
+                n[t] += np.bincount(route(tree, x), minlength=tree.leaves)
+        for t, count in enumerate(n):
+            at = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(at.astype(np.int32)), pa.array(count[at])], names=["tree", "leaf", "n"])
+
     def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for q, v in zip(batch.column("query").to_pylist(), batch.column("vector").to_pylist()):
-                at = np.array(visit(shared.value, np.frombuffer(v, np.float64), visits), np.int32).reshape(-1, 2)
+                at = np.array(visit(shared.value, np.frombuffer(v, kind).astype(np.float64), visits), np.int32).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1]), pa.array([[q]] * len(at), pa.list_(pa.int64())), pa.array([v] * len(at), pa.binary())], names=["tree", "leaf", "ids", "vector"])
 
     schema = "tree int, leaf int, ids array<long>, vector binary"
-    routed, wanted = table.mapInArrow(leaves, schema), searched.mapInArrow(visited, schema)
+    routed, wanted = table.mapInArrow(leaves, schema), written(searched.mapInArrow(visited, schema))
     # One row for each leaf of the forest, whose size the sample bounds.
-    parts = routed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    parts = table.select("vector").mapInArrow(sizes_of, "tree int, leaf int, n long").groupBy("tree", "leaf").agg(F.ceil(F.sum("n") / PART).cast("int").alias("parts"))
     blocks = wanted.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("blocks"))
     plan = written(parts.join(blocks, ["tree", "leaf"]))
     salted = lambda c: F.pmod(F.xxhash64(F.get("ids", 0)), F.col(c)).cast("int")
@@ -241,8 +258,8 @@ def search(vectors: DataFrame, *, key: str = "vec_id", embedding: str = "embeddi
     left = routed.join(F.broadcast(plan), ["tree", "leaf"]).withColumn("part", salted("parts")).withColumn("block", each("blocks")).withColumn("query", F.lit(False))
     right = wanted.join(F.broadcast(plan), ["tree", "leaf"]).withColumn("block", salted("blocks")).withColumn("part", each("parts")).withColumn("query", F.lit(True))
     columns = [c.split()[0] for c in GROUP.split(", ")]
-    best = left.select(columns).union(right.select(columns)).groupBy("tree", "leaf", "part", "block").applyInPandas(lambda g: _best(g, keep), "query long, scores array<double>, found array<array<long>>")
-    pairs = F.flatten(F.transform(F.arrays_zip("scores", "found"), lambda x: F.transform(x["found"], lambda i: F.struct(x["scores"].alias("score"), i.alias("vec_id")))))
-    lists = best.select("query", pairs.alias("near")).groupBy("query").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, keep).alias("near"))
+    best = left.select(columns).union(right.select(columns)).groupBy("tree", "leaf", "part", "block").applyInPandas(lambda g: _best(g, keep, kind), "query long, score double, vec_id long")
+    # A row that several trees found is one; at most keep rows come from each leaf that the query visited.
+    lists = best.groupBy("query", "vec_id").agg(F.min("score").alias("score")).groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, keep).alias("near"))
     ranked = asking.select("id", "query").join(written(lists), "query").select(F.col("id").alias("query_id"), F.posexplode(F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("id")), 1, k)).alias("rank", "x"))
     return ranked.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))

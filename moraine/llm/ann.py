@@ -32,6 +32,8 @@ SAMPLE = 40_000
 TREES = 8
 #: Sample vectors in a leaf, at most, while the sample is the whole table.
 LEAF = 256
+#: Leaves of a tree over more vectors than that: what a query gets back doesn't follow the table.
+LEAVES = 64
 #: Share of the forest's leaves, and their least number, that a query takes from the shared queue.
 SHARE = 0.12
 VISITS = 40
@@ -211,7 +213,7 @@ def search(vectors: DataFrame, *, key: str = "vec_id", embedding: str = "embeddi
     hashed = F.pmod(F.xxhash64(F.get("ids", 0)), F.lit(1_000_000_000))
     few = table.filter(hashed < int(min(1.0, sample / n) * 1_000_000_000)).select(F.get("ids", 0).alias("id"), "vector").limit(2 * sample).collect()
     points = _matrix([bytes(r["vector"]) for r in sorted(few, key=lambda r: r["id"])], kind) if few else np.zeros((0, sizes["size"]))
-    grown = forest(points, trees, leaf)
+    grown = forest(points, trees, max(leaf, math.ceil(1.1 * len(points) / LEAVES)))
     visits = max(VISITS, math.ceil(share * sum(t.leaves for t in grown)))
     shared = spark.sparkContext.broadcast(grown)
 

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moraine.llm.common import written
 from moraine.llm.words import Words, mix, slices, words
 
 WINDOW = 32
@@ -38,7 +39,7 @@ THRESHOLD = 0.3
 class Fit:
     """Bounds of the training sample and of the training itself."""
 
-    #: Most labelled ids looked up of either class, and most bytes of a text that is learned from.
+    #: Most labelled ids learned from of either class, and most bytes of a text that is learned from.
     positives: int = 1500
     negatives: int = 3000
     text_bytes: int = 2500
@@ -188,12 +189,15 @@ def _laid(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return which[np.minimum(at, len(which) - 1)] if len(which) else at, filled, doc
 
 
-def train(texts: list[str], labels: list[int], fit: Fit = Fit()) -> dict[str, np.ndarray]:
-    """The parameters; with only one label in the sample, a network that always answers with its share."""
+def train(texts: list[str], labels: list[int], fit: Fit = Fit(), prior: float | None = None) -> dict[str, np.ndarray]:
+    """The parameters; with only one label in the sample, a network that always answers with its share.
+
+    ``prior``: the share of toxic rows where the sample, which is drawn by class, doesn't have it.
+    """
     rng = np.random.default_rng(fit.seed)
     p = parameters(rng)
     y = np.array(labels, np.float32)
-    p["prior"] = np.array([y.mean() if len(y) else 0.0], np.float32)
+    p["prior"] = np.array([prior if prior is not None else y.mean() if len(y) else 0.0], np.float32)
     if len(y) == 0 or y.min() == y.max():
         p["flat"] = np.ones(1, np.float32)
         return p
@@ -243,7 +247,7 @@ def train(texts: list[str], labels: list[int], fit: Fit = Fit()) -> dict[str, np
 
 
 def score_texts(p: dict[str, np.ndarray], texts: pa.Array, block: int = 4096) -> np.ndarray:
-    """Scores of whole texts; those without words get the sample's share of toxic documents."""
+    """Scores of whole texts; those without words get the share of toxic labels."""
     out = np.full(len(texts), p["prior"][0], np.float64)
     w = words(texts, alnum=True)
     if "flat" in p or not len(w.hash):
@@ -267,25 +271,37 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), *, key: str = "doc_id", text: str = "text") -> tuple[list[str], list[int]]:
-    """At most ``positives`` and ``negatives`` labelled rows that may be learned from, with short texts."""
+def sample(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), *, key: str = "doc_id", text: str = "text") -> tuple[list[str], list[int], float]:
+    """At most ``positives`` and ``negatives`` labelled rows that may be learned from, with short texts; and the toxic share of all such labels, whatever their texts.
+
+    The bound on texts holds before ids are drawn: only ids and labels are joined for it.
+    """
     known = labels.select(F.col(key).cast("long").alias("_id"), F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id")))
+    prior = known.agg(F.avg("toxic")).first()[0] or 0.0
+    short = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("t")).filter(F.octet_length("t").between(1, fit.text_bytes))
+    known = written(known.join(short.select("_id"), "_id", "left_semi"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, fit.positives / max(1, counts.get(1, 0)))).otherwise(min(1.0, fit.negatives / max(1, counts.get(0, 0))))
     few = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < share * 1_000_000).limit(2 * (fit.positives + fit.negatives))
-    rows = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("t")).filter(F.octet_length("t").between(1, fit.text_bytes)).join(F.broadcast(few), "_id").select("_id", "t", "toxic")
+    rows = short.join(F.broadcast(few), "_id").select("_id", "t", "toxic")
     got = sorted(rows.limit(2 * (fit.positives + fit.negatives)).collect())
-    return [r["t"] for r in got], [r["toxic"] for r in got]
+    return [r["t"] for r in got], [r["toxic"] for r in got], prior
+
+
+def fitted(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), **columns) -> dict[str, np.ndarray]:
+    texts, toxic, prior = sample(docs, labels, fit, **columns)
+    return train(texts, toxic, fit, prior)
 
 
 def scores(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row, null, empty and repeated ones too.
 
-    Texts are read in one scan and not shuffled. Without labels the score is 0;
-    with one label only it is that label's share. Rows with a null id are not
-    held out (and never labelled).
+    Texts are not shuffled. Without labels the score is 0; with one label only
+    it is that label's share. Texts without words get the toxic share of all
+    labels that are not held out. Rows with a null id are not held out (and
+    never labelled).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(train(*sample(docs, labels, fit, key=key, text=text), fit))
+    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, fit, key=key, text=text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
@@ -298,7 +314,7 @@ def scores(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), *, key: str = "
 
 def without_toxic(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents whose score reaches the threshold: a filter inside the scan."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(*sample(docs, labels, fit, key=key, text=text), fit))
+    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, fit, key=key, text=text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, PIECE):

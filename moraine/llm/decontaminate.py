@@ -214,31 +214,41 @@ def blocks(benchmark: DataFrame, *, block: int = BLOCK, item: str = "item_id", t
         yield phrases(held, window)
 
 
-SPANS = "doc_id long, n_words long, spans array<struct<begin:int,end:int>>, items array<string>"
+SPANS = "row long, doc_id long, n_words long, spans array<struct<begin:int,end:int>>, items array<string>"
 
 
 def removal_spans(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """Per document: its words, the merged spans of benchmark windows, and the items they come from.
 
     Null and wordless texts have no spans. A row with a repeated or null id
-    stays a row of its own as long as the benchmark is one block; the results
-    of several blocks are merged by id and number of words. Null items and
-    items without words are never found; an empty benchmark finds nothing.
+    stays a row of its own, however many blocks the benchmark has. Null items
+    and items without words are never found; an empty benchmark finds nothing.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    shared = _shared(docs, benchmark, block, window)
+    if len(shared) > 1:  # numbered once, so that all blocks see the same numbers
+        rows = written(rows.withColumn("row", F.monotonically_increasing_id()))
+    elif shared:
+        rows = rows.withColumn("row", F.lit(0).cast("long"))
+    return _found(rows, shared).drop("row")
+
+
+def _shared(docs: DataFrame, benchmark: DataFrame, block: int, window: int) -> list:
+    return [docs.sparkSession.sparkContext.broadcast(p) for p in blocks(benchmark, block=block, window=window) if p.by_length]
+
+
+def _found(rows: DataFrame, blocks_: list) -> DataFrame:
+    """``removal_spans`` of ``row, doc_id, text``, with ``row``; several blocks' results are merged by it."""
     found = []
-    for phrase in blocks(benchmark, block=block, window=window):
-        if not phrase.by_length:
-            continue
-        shared = docs.sparkSession.sparkContext.broadcast(phrase)
+    for shared in blocks_:
 
         def scan(batches, shared=shared):
             for batch in slices(batches, "text", SHARD):
                 texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
                 n, spans, items = zip(*scan_texts(texts, shared.value))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array([[{"begin": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                    names=["doc_id", "n_words", "spans", "items"],
+                    [batch.column("row"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array([[{"begin": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
+                    names=["row", "doc_id", "n_words", "spans", "items"],
                 )
 
         found.append(rows.mapInArrow(scan, SPANS))
@@ -250,7 +260,7 @@ def removal_spans(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id",
     union = found[0]
     for f in found[1:]:
         union = union.unionByName(f)
-    merged = union.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = union.groupBy("row", "doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     return merged.withColumn("spans", merge_spans(F.col("spans")))
 
 
@@ -268,14 +278,22 @@ def merge_spans(spans):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for every row (see ``removal_spans``)."""
-    found = removal_spans(docs, benchmark, **options)
+    return _judged(removal_spans(docs, benchmark, **options))
+
+
+def _judged(found: DataFrame, *also: str) -> DataFrame:
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["begin"]))
-    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")).withColumn(
+    return found.select(*also, "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))
     )
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the contaminated ones; all others stay as they are."""
-    gone = written(decontaminate(docs, benchmark, key=key, **options).filter("contaminated and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(checked(gone), F.col(key).cast("long") == F.col("_gone"), "left_anti")
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """``docs`` without the contaminated rows, whatever their ids; all others stay as they are."""
+    shared = _shared(docs, benchmark, block, window)
+    if not shared:
+        return docs
+    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()))
+    rows = keyed.select(F.col("_row").alias("row"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    gone = written(_judged(_found(rows, shared), "row").filter("contaminated").select(F.col("row").alias("_gone")))
+    return keyed.join(checked(gone), F.col("_row") == F.col("_gone"), "left_anti").drop("_row")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,13 +14,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a folder of our own only where none is named."""
+    """The folder that the cluster names in spark.checkpoint.dir.
+
+    Where none is named, a local session gets one of its own under its
+    warehouse; on a cluster that is an error, as executors need a shared one.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    own = os.path.join(tempfile.gettempdir(), "checkpoints", f"moraine-{spark.sparkContext.applicationId}")
-    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
-    return f"file://{own}"
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints/{spark.sparkContext.applicationId}"
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting that holds for what runs inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -292,7 +292,14 @@ def table():
     return sentencepiece_lattice.pieces()
 
 
-ODD = ["Hello  world", " lead", "trail ", "a\tb\n\nc", "日本語 テスト 🙂🙂", "▁mark ▁▁ x", "naïve café", "x" * 500, "ab " * 60, " " * 33, *[" " * k + "the" for k in range(20)], "www.example.com/a?b=c&d=%20", "\x00\x7f"]
+ODD = ["Hello  world", " lead", "trail ", "a\tb\n\nc", "日本語 テスト 🙂🙂", "▁mark ▁▁ x", "naïve café", "x" * 500, "ab " * 60, " " * 33, *[" " * k + "the" for k in range(20)], "www.example.com/a?b=c&d=%20", "\x00\x7f", "\n x", "Donaudampfschifffahrtsgesellschaftskapitän", "thethethethethetheandandandandinging"]
+
+
+def own_ids(table, texts):
+    c = sentencepiece_lattice.cut(pa.array(texts, pa.string()), table)
+    ids, counts = sentencepiece_lattice.ids_of(c, table, *sentencepiece_lattice.own_rule(table)(c.parts))
+    assert sentencepiece_lattice.Decoder(table.table).same(ids, counts, c.buffer, c.sizes, block=50).all()
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
 
 
 def test_pieces_are_the_model_s_and_round_trip(table, spark):
@@ -300,27 +307,69 @@ def test_pieces_are_the_model_s_and_round_trip(table, spark):
 
     model = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_lattice.MODEL)
     texts = ODD + [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
-    own = sentencepiece_lattice.Encoder(table, {})
-    for t in texts:
-        ids = own.encode(t).tolist()
+    for t, ids in zip(texts, own_ids(table, texts)):
         assert sentencepiece_lattice.decode(table.table, ids) == t
         if "▁" not in t:
             assert ids == model.encode(t), t[:40]
 
 
-def test_lexicon_s_lattice_equals_the_task_s(table, spark):
-    docs = documents(spark, ODD + ["the other things of the world, and then some"] * 3)
-    rows = sentencepiece_lattice.lexicon(docs, table, size=200).collect()
-    assert len(rows) > 10 and all(list(r["ids"]) == table.unit(r["unit"]) for r in rows)
+@pytest.mark.parametrize("broadcast_bytes", [10**9, -1])
+def test_all_ids_come_from_the_lattice_and_are_the_model_s(table, spark, monkeypatch, broadcast_bytes):
+    """Whole sf0.01, the lexicon sent or joined. The rule in the tasks may only see what no lattice can hold."""
+    import sentencepiece
+
+    real = sentencepiece_lattice.Pieces.part
+
+    def only_rest(self, part):
+        assert len(part) > sentencepiece_lattice.LONGEST or part not in self.ids and len(part) == 1
+        return real(self, part)
+
+    monkeypatch.setattr(sentencepiece_lattice.Pieces, "part", only_rest)
+    monkeypatch.setattr(sentencepiece_lattice.Pieces, "merged_alike", None)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet" if broadcast_bytes > 0 else f"{SF}/documents.parquet").select("doc_id", "text").union(documents(spark, ODD, [10**6 + i for i in range(len(ODD))]).select("doc_id", "text"))
+    got = {r["doc_id"]: list(r["ids"]) for r in sentencepiece_lattice.encode(docs, broadcast_bytes=broadcast_bytes).collect()}
+    model = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_lattice.MODEL)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    assert got.keys() == texts.keys()
+    for d, t in texts.items():
+        assert "▁" in t or got[d] == model.encode(t), d
+
+
+def test_folds_by_brute_force(spark):
+    """A made model whose better pieces can come late: both folds against plain rules, on all short strings and some longer ones."""
+    rng = random.Random(6)
+    alphabet = "abc"
+    strings = {"".join(rng.choice(alphabet) for _ in range(n)) for n in (2, 3, 4) for _ in range(14)}
+    names = [*alphabet, *sorted(strings)]
+    scores = {s: -float(k) for k, s in enumerate(rng.sample(names, len(names)))}
+    for unigram in (False, True):
+        made = sentencepiece_lattice.Pieces({s: k for k, s in enumerate(names)} | {" ": 99}, scores | {" ": -99.0}, [0] * 256, [b""] * 100, 4, unigram=unigram)
+        parts = {"".join(rng.choice(alphabet) for _ in range(n)) for n in (1, 2, 3, 5, 8, 13, 28, 29, 40, 60) for _ in range(60)}
+        df = spark.createDataFrame([(p,) for p in parts], "part string")
+        got = {r["part"]: list(r["ids"]) for r in sentencepiece_lattice.lexicon(df, made).collect()}
+        for p in parts:
+            if unigram:
+                total = lambda ids: sum(scores[names[i]] for i in ids)
+                assert "".join(names[i] for i in got[p]) == p and total(got[p]) == total(made.part(p))
+            else:
+                assert got[p] == made.part(p), p
+        if not unigram:
+            codes = np.array([[ord(c) for c in p] for p in parts if len(p) == 8])
+            rows = [None] * len(codes)
+            for k, ids in made.merged_alike(made._single[codes]):
+                for r, i in zip(k, ids):
+                    rows[r] = i.tolist()
+            assert rows == [made.part(p) for p in parts if len(p) == 8]
 
 
 def test_encoding_rows(spark):
-    docs = documents(spark).union(documents(spark, ["x y"], [None]))
-    e = sentencepiece_lattice.encode(docs, size=50)
-    rows = e.collect()
-    assert len(rows) == len(TEXTS) + 1 and all(r["lossless"] and r["n_tokens"] == len(r["ids"]) for r in rows)
-    assert {r["doc_id"]: r["text"] for r in sentencepiece_lattice.decoded(e).filter("doc_id < 9").collect()} == {i: t or "" for i, t in enumerate(TEXTS[:9])}
-    assert sentencepiece_lattice.encode(docs.limit(0)).count() == 0
+    docs = documents(spark).union(documents(spark, ["x y", "z"], [None, 3])).withColumn("ids", F.lit(1)).withColumn("lossless", F.lit("no"))
+    for size in (10**9, -1):
+        e = sentencepiece_lattice.encode(docs, broadcast_bytes=size)
+        rows = e.collect()
+        assert len(rows) == len(TEXTS) + 2 and all(r["lossless"] and r["n_tokens"] == len(r["ids"]) for r in rows)
+        assert {r["doc_id"]: r["text"] for r in sentencepiece_lattice.decoded(e).filter("doc_id < 9 and doc_id <> 3").collect()} == {i: t or "" for i, t in enumerate(TEXTS[:9]) if i != 3}
+        assert sentencepiece_lattice.encode(docs.limit(0), broadcast_bytes=size).count() == 0
 
 
 # 8
@@ -388,15 +437,17 @@ def test_packing_by_brute_force():
 
 def test_packed_rows_give_the_documents_back(spark, tmp_path):
     docs = documents(spark)
-    packing.write_packed(docs, str(tmp_path / "p"), length=64, size=0)
+    docs = docs.union(documents(spark, ["x y", "z", "z", LONG], [None, 5, 5, None])).withColumn("ids", F.lit(1))
+    packing.write_packed(docs, str(tmp_path / "p"), length=64)
     rows = spark.read.parquet(str(tmp_path / "p"))
-    ids = {r["doc_id"]: list(r["ids"]) + [packing.END] for r in sentencepiece_lattice.encode(docs, size=0).collect()}
-    assert {r["doc_id"]: list(r["ids"]) for r in packing.unpacked(rows).collect()} == ids
+    ids = sorted((r["doc_id"] or -1, list(r["ids"]) + [packing.END]) for r in sentencepiece_lattice.encode(docs).collect())
+    assert sorted((r["doc_id"] or -1, list(r["ids"])) for r in packing.unpacked(rows).collect()) == ids
     for r in rows.collect():
         assert len(r["ids"]) == len(r["positions"]) == 128 and r["cu_seqlens"][-1] == r["n_tokens"] <= 64
         places = np.frombuffer(bytes(r["positions"]), "<u2")[: r["n_tokens"]]
         assert places.tolist() == [i for a, b in zip(r["cu_seqlens"], r["cu_seqlens"][1:]) for i in range(b - a)]
-    assert packing.packed(docs.limit(0), size=0).count() == 0
+        assert set(bytes(r["ids"])[2 * r["n_tokens"] :]) | set(bytes(r["positions"])[2 * r["n_tokens"] :]) <= {0}
+    assert packing.packed(docs.limit(0)).count() == 0
 
 
 # 10

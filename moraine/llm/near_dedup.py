@@ -40,7 +40,8 @@ ROWS = 5
 BITS = 4
 #: Shingles of a member that pairs are bounded by before their sets are compared.
 HEAD = 64
-PIECE = 4_000_000
+#: Bytes of text whose sketches a task makes at a time; their memory is some 40 times that.
+PIECE = 1_000_000
 _PER_LONG = 64 // BITS
 _LONGS = -(-BANDS * ROWS // _PER_LONG)
 _ONES = int("1" * (64 // BITS), 2**BITS) if BITS < 4 else 0x1111111111111111
@@ -75,7 +76,7 @@ def minima(sets: np.ndarray, first: np.ndarray, functions: int) -> np.ndarray:
     return out
 
 
-SKETCH = "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>, signature array<long>"
+SKETCH = "doc_id long, text_hash long, n_shingles long, digest_a long, digest_b long, bands array<long>, signature array<long>"
 
 
 def _sketch(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
@@ -104,7 +105,7 @@ def _sketch(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
         width[1:][full] = values.shape[1]
         return pa.ListArray.from_arrays(pa.array(np.cumsum(width), pa.int32()), pa.array(values.reshape(-1).view(np.int64)))
 
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(digests[0].view(np.int64)), pa.array(digests[1].view(np.int64)), lists(band), lists(packed)], names=[f.split()[0] for f in SKETCH.split(", ")])
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(count, pa.int64()), pa.array(digests[0].view(np.int64)), pa.array(digests[1].view(np.int64)), lists(band), lists(packed)], names=[f.split()[0] for f in SKETCH.split(", ")])
 
 
 def sketches(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
@@ -114,18 +115,23 @@ def sketches(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int
         for batch in slices(batches, "text", PIECE):
             yield _sketch(batch, k)
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SKETCH)
+    return _keyed(docs, key, text).mapInArrow(run, SKETCH)
 
 
-def full_sets(docs: DataFrame, *, key: str, text: str, k: int) -> DataFrame:
-    """``id`` and all its shingles, sorted."""
+def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """A row is told from others by its id and its text (a hash of it); rows equal in both are one document."""
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+
+
+def full_sets(texts: DataFrame, k: int) -> DataFrame:
+    """``id`` and all its shingles, sorted, from ``id, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
             sets, first = shingles(words(batch.column("text"), lower=True), k)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(sets.view(np.int64)))], names=["id", "shingles"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, shingles array<long>")
+    return texts.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -184,17 +190,23 @@ def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent:
     their shingle sets; words are lower-cased (A-Z) runs without ASCII white
     space. Null and wordless texts are linked with nothing. Rows with a null id
     are linked with nothing, have a null component and are kept. Rows that
-    repeat an id are one document if their texts are equal; other columns are
-    ignored, and an empty table gives no rows.
+    share an id but not a text are documents of their own, each linked by its
+    own text; other columns, whatever their names, are ignored, and an empty
+    table gives no rows.
     """
-    all_rows = written(sketches(docs, key=key, text=text, k=k))
+    return _numbered(docs, key=key, text=text, percent=percent, k=k).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _numbered(docs: DataFrame, *, key: str, text: str, percent: int, k: int = SHINGLE) -> DataFrame:
+    """``groups`` with ``text_hash``. Inside, rows go by a number that is written with their sketches."""
+    all_rows = written(sketches(docs, key=key, text=text, k=k).withColumn("row", F.monotonically_increasing_id()))
     rows = all_rows.filter("n_shingles > 0 and doc_id is not null")
-    classes = written(rows.groupBy("digest_a", "digest_b", "n_shingles").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies"))
-    copies = written(rows.join(classes, ["digest_a", "digest_b", "n_shingles"]).filter("doc_id <> first").select("doc_id", "first"))
-    heads = rows.join(checked(copies.select("doc_id")), "doc_id", "left_anti")
+    classes = written(rows.groupBy("digest_a", "digest_b", "n_shingles").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies"))
+    copies = written(rows.join(classes, ["digest_a", "digest_b", "n_shingles"]).filter("row <> first").select("row", "first"))
+    heads = rows.join(checked(copies.select("row")), "row", "left_anti")
 
     # Buckets with at least two representatives, and who is in them.
-    banded = heads.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
+    banded = heads.select(F.col("row").alias("id"), F.explode("bands").alias("bucket"))
     shared = written(banded.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("bucket"))
     inside = written(banded.join(shared, "bucket"))
     candidates = written(inside.select("id").distinct())
@@ -202,13 +214,13 @@ def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent:
         found = all_rows.sparkSession.createDataFrame([], "id long, component long")
     else:
         few = checked(candidates)
-        texts = docs.join(few.withColumnRenamed("id", "_candidate"), F.col(key).cast("long") == F.col("_candidate"), "left_semi")
-        sets = written(full_sets(texts, key=key, text=text, k=k).dropDuplicates(["id"]))
+        named = written(rows.join(few.withColumnRenamed("id", "row"), "row", "left_semi").select(F.col("row").alias("id"), "doc_id", "text_hash"))
+        texts = _keyed(docs, key, text).join(checked(named), ["doc_id", "text_hash"]).select("id", "text")
+        sets = written(full_sets(texts, k).dropDuplicates(["id"]))
         alone = sets.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
         members = written(
-            rows.join(few.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-            .dropDuplicates(["doc_id"])
-            .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
+            rows.join(few.withColumnRenamed("id", "row"), "row", "left_semi")
+            .select(F.col("row").alias("id"), F.col("n_shingles").alias("n"), "signature")
             .join(alone, "id", "left")
             .na.fill(0, ["own"])
             .filter(_possible(F.col("n") - F.col("own"), F.col("n"), F.col("n") - F.col("own"), percent))
@@ -226,7 +238,7 @@ def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent:
         placed = written(viable.join(written(found), "id", "left").withColumn("component", F.coalesce("component", "id")))
         split = written(placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket"))
         apart = written(placed.join(split, "bucket").select("bucket", "id", "component"))
-        known = written(_heads(apart.select("id").distinct().join(members, "id"), sets).join(rows.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "bands"), "id"))
+        known = written(_heads(apart.select("id").distinct().join(members, "id"), sets).join(rows.select(F.col("row").alias("id"), "bands"), "id"))
         known = apart.join(known, "id")
         left, right = (known.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in known.columns if c != "bucket"]) for side in "ab")
         reach = F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))
@@ -244,12 +256,22 @@ def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent:
         more = _confirmed(rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), members, sets, percent)
         if not more.isEmpty():
             found = components(edges.union(more))
-    out = all_rows.select("doc_id", "n_shingles").join(copies.groupBy("doc_id").agg(F.min("first").alias("first")), "doc_id", "left")
-    out = out.withColumn("id", F.coalesce("first", "doc_id")).join(found, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    out = all_rows.select("row", "doc_id", "text_hash", "n_shingles").join(copies, "row", "left").withColumn("id", F.coalesce("first", "row"))
+    out = written(out.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).drop("id", "first"))
+    several = written(out.groupBy("component").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("members")).filter("members > 1").drop("members"))
+    whole = out.join(checked(several), "component", "left").withColumn("component_id", F.coalesce("low", "doc_id"))
+    return whole.select("doc_id", "text_hash", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """``docs`` with the first document of each group only."""
-    gone = written(groups(docs, key=key, text=text, percent=percent).filter("not kept").select(F.col("doc_id").alias("_gone")))
-    return docs.join(checked(gone), F.col(key).cast("long") == F.col("_gone"), "left_anti")
+    """``docs`` with the first document of each group only: rows that are not kept go, by their ids and texts.
+
+    Rows without an id, and null and wordless texts, stay. All columns stay as
+    they are, whatever their names.
+    """
+    gone = written(_numbered(docs, key=key, text=text, percent=percent).filter("not kept").select("doc_id", "text_hash").distinct())
+    new = [f"{c}__gone" for c in gone.columns]
+    while set(new) & set(docs.columns):
+        new = [f"{c}_" for c in new]
+    gone = checked(gone.toDF(*new))
+    return docs.join(gone, (docs[key].cast("long") == gone[new[0]]) & (F.xxhash64(docs[text]) == gone[new[1]]), "left_anti")

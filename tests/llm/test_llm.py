@@ -494,6 +494,16 @@ def test_near_duplicate_cases(spark):
     assert near_dedup.groups(documents(spark, ["x y z u v w " * 3, "other"])).count() == 2
 
 
+def test_rows_that_share_an_id_keep_their_own_links(spark):
+    a, b, c = "a b c d e f g", "p q r s t u v", "k l m n o p q"
+    docs = documents(spark, [a, a, b, b, b, c, c], [1, 2, 2, 3, 3, None, 2]).withColumn("doc_id__gone", F.lit(1)).withColumn("_gone", F.lit(2)).withColumn("bucket", F.lit(3))
+    got = sorted((r["doc_id"] or 0, r["component_id"], r["kept"]) for r in near_dedup.groups(docs).collect())
+    assert got == [(0, None, True), (1, 1, True), (2, 1, False), (2, 2, True), (2, 2, True), (3, 2, False), (3, 2, False)]
+    left = near_dedup.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left.collect()) == [(0, c), (1, a), (2, c), (2, b)][:1] + [(1, a), (2, c), (2, b)]
+
+
 def test_estimate_is_unbiased(spark):
     rng = np.random.default_rng(1)
     common, a, b = (rng.integers(0, 2**63, n).astype(np.uint64) for n in (800, 100, 100))

@@ -5,9 +5,17 @@ trees are aligned one after another with a growing template by simple tree
 matching: two nodes match if their tag and class agree, children are aligned
 in order for the largest matching, and a row of like siblings is one repeated
 node. A text that stands at the same template node in most of the group's
-different pages is template; slots whose text varies are content. Where pages
-mark their article (``article``, ``main``), only slots inside it are content,
-and landmarks such as menus or comments never are.
+different pages is template; slots whose text varies are content.
+
+The article's place is a node of the template as well: from the root down, as
+long as one child that stands once in a page holds most of the varying text of
+all pages, the place is in that child. An ``article`` or ``main`` element is a
+hint at the place, not a condition: it needs a smaller share, and the search
+ends at it. What is read, in any page, is the varying text at that place.
+
+Elements that are never article text by their meaning (``NEVER``) are left
+out, and so are containers with a class, id or role that is exactly one of the
+names in ``HINTS`` or ``ROLES``, and hidden elements.
 """
 
 from __future__ import annotations
@@ -15,6 +23,7 @@ from __future__ import annotations
 import html as _html
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -29,6 +38,8 @@ GROUP = 256
 CONSTANT, INSIDE = 0.5, 0.8
 #: Different pages that it takes to call a text template.
 SUPPORT = 4
+#: Share of a node's varying text that a child must hold to be the article's place; the same for a marked child.
+MOST, MARKED_SHARE = 0.6, 0.2
 
 # HTML's elements by what they mean here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -38,6 +49,8 @@ CLOSES = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]),
     "th": frozenset(["td", "th"]), "tbody": frozenset(["thead", "tbody", "tr", "td", "th"]), "option": frozenset(["option"]),
 }
+CONTAINER = frozenset("html body article section main div center table tbody tr td".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 SCOPE = frozenset("ul ol dl table html body article section div main aside nav header footer form td th blockquote".split())
 NEVER = frozenset("head nav footer aside form script style textarea title noscript template iframe button select input svg dialog menu search object canvas".split())
 HINTS = frozenset("nav navbar navigation menu footer sidebar notice notices cookie cookies consent banner ad ads advert adverts advertisement advertising promo promoted sponsor sponsored comment comments discussion replies share sharing social related breadcrumb breadcrumbs popup modal newsletter subscribe signup login search pagination pager toolbar widget skip".split())
@@ -47,8 +60,7 @@ MARKED = frozenset(["article", "main"])
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>?", re.S
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_WORD = re.compile(r"[a-zA-Z]+")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
 @dataclass
@@ -66,17 +78,17 @@ class Node:
 def _opened(tag: str, attributes: str, marked: bool) -> Node:
     node = Node(tag, drop=tag in NEVER or tag == "header" and not marked)
     if attributes and not attributes.isspace():
-        for name, *values in _ATTRIBUTE.findall(attributes):
-            value, name = next((v for v in values if v), ""), name.lower()
-            words = [w.lower() for w in _WORD.findall(value)]
+        for name, *values in _ATTRIBUTE.findall(attributes):  # one attribute after another, so values aren't searched for names
+            name, value = name.lower(), next((v for v in values if v), "")
+            names = value.lower().split()
             if name == "class":
                 node.hint = " ".join(sorted(value.split()))
-            if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            if name == "hidden" or name == "aria-hidden" and names == ["true"]:
                 node.drop = True
             elif name == "role":
-                node.drop |= any(w in ROLES for w in words)
-            elif tag not in ("html", "body", "main") and any(w in HINTS or w == "header" and not marked for w in words):
-                node.drop = True
+                node.drop |= any(n in ROLES for n in names)
+            elif name in ("class", "id") and tag not in HEADING and tag not in ("html", "body", "main", "article"):
+                node.drop |= any(n in HINTS or n == "header" and not marked for n in names)
     return node
 
 
@@ -133,8 +145,12 @@ class Template:
     """A node of the template: its children in order, and in how many different pages each text stands at it."""
 
     key: tuple[str, str]
+    parent: Template | None = None
     children: list[Template] = field(default_factory=list)
     texts: Counter = field(default_factory=Counter)
+    #: Whether it stands more than once in a page, and the characters of varying text at and below it in all different pages.
+    repeated: bool = False
+    varying: int = 0
 
 
 @dataclass
@@ -146,22 +162,27 @@ class Piece:
     at: Template | None = None
 
 
-def _weight(t: Template, n: Node, depth: int = 3) -> int:
-    """The size of the largest simple tree matching of two nodes, looking ``depth`` levels down."""
-    if t.key != n.key:
-        return 0
-    nodes = _runs(n)
-    if depth == 0 or not t.children or not nodes:
-        return 1
-    if len(t.children) * len(nodes) > 400:
-        return 1 + sum((Counter(c.key for c in t.children) & Counter(r[0].key for r in nodes)).values())
-    row = [0] * (len(nodes) + 1)
-    for c in t.children:
-        before = row
-        row = [0]
-        for j, run in enumerate(nodes):
-            row.append(max(before[j + 1], row[j], before[j] + _weight(c, run[0], depth - 1)))
-    return 1 + row[-1]
+def _weight(template: Template, node: Node) -> int:
+    """The size of the largest simple tree matching of two nodes with one key, whole trees, without recursion."""
+    known: dict[tuple[int, int], int] = {}
+    todo = [(template, node)]
+    while todo:
+        t, n = todo[-1]
+        pair = (id(t), id(n))
+        if pair not in known:
+            heads = [run[0] for run in _runs(n)]
+            below = [(c, h) for c in t.children for h in heads if c.key == h.key and (id(c), id(h)) not in known]
+            if below:
+                todo += below
+                continue
+            row = [0] * (len(heads) + 1)
+            for c in t.children:
+                before, row = row, [0]
+                for j, h in enumerate(heads):
+                    row.append(max(before[j + 1], row[j], before[j] + (known[id(c), id(h)] if c.key == h.key else 0)))
+            known[pair] = 1 + row[-1]
+        todo.pop()
+    return known[id(template), id(node)]
 
 
 def _runs(node: Node) -> list[list[Node]]:
@@ -200,14 +221,15 @@ def _children(template: Template, node: Node, places: dict[int, Template]) -> li
     middle, rest = old[head : m - tail], runs[head : n - tail]
     pairs: list[tuple[Template | None, list[Node] | None]] = [*zip(old[:head], runs[:head])]
     if middle and rest:
+        weight = {(i, j): _weight(t, r[0]) for i, t in enumerate(middle) for j, r in enumerate(rest) if t.key == r[0].key}
         best = [[0] * (len(rest) + 1) for _ in range(len(middle) + 1)]
         for i in range(len(middle) - 1, -1, -1):
             for j in range(len(rest) - 1, -1, -1):
-                w = _weight(middle[i], rest[j][0]) if middle[i].key == rest[j][0].key else 0
+                w = weight.get((i, j), 0)
                 best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + w if w else 0)
         i = j = 0
         while i < len(middle) or j < len(rest):
-            if i < len(middle) and j < len(rest) and middle[i].key == rest[j][0].key and best[i][j] == best[i + 1][j + 1] + _weight(middle[i], rest[j][0]):
+            if (i, j) in weight and best[i][j] == best[i + 1][j + 1] + weight[i, j]:
                 pairs.append((middle[i], rest[j]))
                 i, j = i + 1, j + 1
             elif i < len(middle) and (j == len(rest) or best[i][j] == best[i + 1][j]):
@@ -222,7 +244,8 @@ def _children(template: Template, node: Node, places: dict[int, Template]) -> li
         pairs += zip(old[m - tail :], runs[n - tail :])
     template.children, out = [], []
     for t, run in pairs:
-        t = t or Template(run[0].key)
+        t = t or Template(run[0].key, template)
+        t.repeated |= len(run or ()) > 1
         template.children.append(t)
         out += [(t, member) for member in run or ()]
     return out
@@ -260,6 +283,24 @@ def pieces(root: Node, places: dict[int, Template]) -> list[Piece]:
     return out
 
 
+def _place(root: Template) -> Template:
+    """The template's node that holds the article."""
+    here = root
+    while here.children and here.key[0] not in MARKED:
+        marked = [c for c in here.children if c.key[0] in MARKED and c.varying >= MARKED_SHARE * here.varying]
+        best = max(marked or here.children, key=lambda c: c.varying)
+        if not marked and (best.repeated or best.key[0] not in CONTAINER or best.varying < MOST * here.varying):
+            break
+        here = best
+    return here
+
+
+def _above(at: Template | None) -> Iterator[Template]:
+    while at is not None:
+        yield at
+        at = at.parent
+
+
 def extract(pages: list[str | None]) -> list[str]:
     """Main texts of some pages of one host."""
     template, all_pieces = Template(("#root", "")), []
@@ -268,18 +309,33 @@ def extract(pages: list[str | None]) -> list[str]:
         places: dict[int, Template] = {}
         align(template, root, places)
         all_pieces.append(pieces(root, places))
-    seen: set[tuple[str, ...]] = set()
+    seen: dict[tuple[str, ...], list[Piece]] = {}
     for own in all_pieces:
         body = tuple(p.text for p in own if p.inside) or tuple(p.text for p in own)
         if body not in seen:  # copies of a page say nothing new about its template
-            seen.add(body)
+            seen[body] = own
             for at, text in {(id(p.at), p.text): (p.at, p.text) for p in own}.values():
                 at.texts[text] += 1
+
+    def varies(p: Piece) -> bool:
+        return p.at.texts[p.text] < max(SUPPORT, (INSIDE if p.inside else CONSTANT) * len(seen))
+
+    for own in seen.values():
+        sizes: dict[int, int] = {}
+        for p in own:
+            sizes[id(p.at)] = sizes.get(id(p.at), 0) + len(p.text) * varies(p)
+        for at in {id(p.at): p.at for p in own}.values():
+            for t in _above(at):
+                t.varying += sizes[id(at)]
+    place, within = _place(template), {}
     out = []
     for own in all_pieces:
-        marked = any(p.inside for p in own)
-        kept = [p.text for p in own if p.inside == marked and not (p.at.texts[p.text] >= max(SUPPORT, (INSIDE if marked else CONSTANT) * len(seen)))]
-        out.append(" ".join(kept))
+        content = [p for p in own if varies(p)]
+        for p in content:
+            if id(p.at) not in within:
+                within[id(p.at)] = any(t is place for t in _above(p.at))
+        there = [p.text for p in content if within[id(p.at)]]
+        out.append(" ".join(there or [p.text for p in content]))
     return out
 
 
@@ -290,15 +346,16 @@ def main_texts(pages: DataFrame, *, key: str = "page_id", url: str = "url", html
     (null urls too) are one host. A host with more than ``GROUP`` pages is
     dealt into groups by a hash, all of which are extracted in full. Rows with
     null or repeated ids stay rows of their own; other columns are ignored.
+    A page without text at its group's place gives all its varying text.
     """
     # Ids travel through pandas as text, where a null doesn't turn its whole column into floats.
     rows = pages.select(F.col(key).cast("long").cast("string").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     large = written(rows.select(host.alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP).select("host", F.ceil(F.col("n") / GROUP).cast("int").alias("groups")))
-    dealt = rows.withColumn("host", host).join(checked(large), "host", "left").withColumn("group", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("groups")), F.lit(0)))
+    dealt = rows.withColumn("host", host).join(checked(large), "host", "left").withColumn("group", F.coalesce(F.pmod(F.xxhash64("page_id", "url", "html"), F.col("groups")), F.lit(0)))
 
     def wrap(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["page_id", "url"], kind="stable")
+        group = group.sort_values(["page_id", "url", "html"], kind="stable")
         texts = extract([h if isinstance(h, str) else None for h in group["html"]])
         return pd.DataFrame({"page_id": group["page_id"].values, "url": group["url"].values, "text": texts, "n_chars": [len(t) for t in texts]})
 

@@ -154,6 +154,35 @@ def test_main_text_of_marked_and_unmarked_pages():
     assert html_extract.extract(plain) == [f"Story {i} more {i * i}" for i in range(8)]
 
 
+def test_attributes_are_read_one_by_one():
+    inside = ['<p style="overflow: hidden">a', '<p title="the hidden cost">b', '<p data-id="ad-7">c', '<p id="comment-policy">d', '<h2 id="discussion">e</h2>', "<div class='menu-du-jour no-sidebar'>f</div>", "<p data-x=1 class=lead>g"]
+    for article in ("<article class='post search-results'>", "<div class='content has-sidebar'>"):
+        page = f"<body><nav>menu</nav>{article}{''.join(inside)}<p class=ad>no<p hidden>no<div id='comments'>no</div>{'</article>' if 'article' in article else '</div>'}</body>"
+        assert html_extract.extract([page]) == ["a b c d e f g"]
+
+
+def test_the_template_finds_the_article_without_marks():
+    rng = random.Random(8)
+    say = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    pages, texts = [], []
+    for _ in range(12):
+        title, body, side = say(5), [say(30) for _ in range(rng.randrange(2, 6))], [say(2) for _ in range(4)]
+        pages.append(f"<body><div class=x1><ul>{''.join(f'<li>{t}' for t in side)}</ul></div><div class=x2>{say(6)}</div><div class=x3><div class=x4><h1>{title}</h1>{''.join(f'<p>{t}' for t in body)}<p>Share this story</div></div><div class=x5>All rights reserved {say(1)}</div></body>")
+        texts.append(" ".join([title, *body]))
+    assert html_extract.extract(pages) == texts
+
+
+def test_matching_looks_at_whole_trees():
+    deep = lambda tag, n: f"<{tag}>" * n + "x" + f"</{tag}>" * n
+    t = html_extract.Template(("#root", ""))
+    html_extract.align(t, html_extract.parse(deep("div", 50)), {})
+    assert html_extract._weight(t, html_extract.parse(deep("div", 50))) == 51 and html_extract._weight(t, html_extract.parse(deep("div", 7))) == 8
+    wide = "".join(f"<div class=c{i}><b><i>x</i></b></div>" for i in range(60))
+    t = html_extract.Template(("#root", ""))
+    html_extract.align(t, html_extract.parse(wide), {})
+    assert html_extract._weight(t, html_extract.parse(wide)) == 1 + 3 * 60
+
+
 def test_html_cases(spark):
     pages = [(1, "http://a.b/x", None), (2, None, ""), (3, "http://a.b/y", "just text"), (3, "http://a.b/y", "just text"), (None, "nohost", "<p>x<p>y"), (4, "http://A.b/z", "<article>" + "<p>w</p>" * 3000 + "</article>"), (5, "http://a.b", "<div <p \"'<"), (6, "http://a.b/q", "<b>" * 3000 + "deep")]
     rows = html_extract.main_texts(spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("text", F.lit(1))).collect()

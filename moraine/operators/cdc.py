@@ -106,11 +106,13 @@ def apply_cdc_events(
     guard_lsn: bool = False,
     buckets: int = 16,
     batch_id: int | None = None,
+    stream: str = "",
 ) -> MergeMetrics:
     """Merges a batch into the versioned table at ``target_path``; only the buckets its keys fall into are read and rewritten.
 
-    An empty batch changes nothing. A ``batch_id`` that the last version
-    already has is a replay and changes nothing. With
+    An empty batch changes nothing. A ``batch_id`` that this ``stream`` has
+    already got to is a replay and changes nothing, whatever was written
+    between; another stream counts its own batches. With
     ``allow_schema_evolution`` new columns join the table as nullable ones;
     dropped or retyped columns are refused.
     """
@@ -118,8 +120,10 @@ def apply_cdc_events(
         return MergeMetrics(table.name)
     store = VersionedTable(spark, target_path)
     last = store.commit() if store.exists() else None
-    if last is not None and batch_id is not None and last.batch_id == batch_id:
-        return MergeMetrics(table.name, **last.metrics)
+    done = last.applied.get(stream) if last else None
+    if done is not None and batch_id is not None and batch_id <= done["batch"]:
+        return MergeMetrics(table.name, **(done["metrics"] if batch_id == done["batch"] else {}))
+    batch = None if batch_id is None else (stream, batch_id)
     known = [c for c in StructType.fromJson(last.schema).names if not c.startswith("_")] if last else table.business_columns
     if not allow_schema_evolution:
         if last is not None or event_columns(events) != set(table.business_columns):
@@ -163,9 +167,9 @@ def apply_cdc_events(
             return {"input_events": counted["n"], **got, "skipped": max(counted["n"] - sum(got.values()), 0)}
 
         if last:
-            commit = store.write(out, key=[table.primary_key], buckets=touched, operation="merge", replace=False, batch_id=batch_id, metrics_of=metrics)
+            commit = store.write(out, key=[table.primary_key], buckets=touched, operation="merge", replace=False, batch=batch, metrics_of=metrics)
         else:
-            commit = store.write(out, key=[table.primary_key], buckets=count, operation="merge", batch_id=batch_id, metrics_of=metrics)
+            commit = store.write(out, key=[table.primary_key], buckets=count, operation="merge", batch=batch, metrics_of=metrics)
         return MergeMetrics(table.name, **commit.metrics)
     finally:
         changes.unpersist()

@@ -127,11 +127,22 @@ _RULES = {
 }
 
 
+_PAST = {"customers": "created_at updated_at", "products": "created_at", "orders": "created_at updated_at", "inventory": "updated_at", "shipments": "shipped_at delivered_at"}
+_NEEDED = {
+    "customers": "name email segment region created_at updated_at",
+    "products": "name category unit_cost is_active created_at",
+    "orders": "customer_id product_id quantity unit_price status channel created_at updated_at",
+    "inventory": "product_id warehouse_id quantity reorder_point updated_at",
+    "shipments": "order_id carrier status",
+}
+_KEYS = {"customers": "customer_id", "products": "product_id", "orders": "order_id", "inventory": "inventory_id", "shipments": "shipment_id"}
+
+
 def _tagged_sql(table: str) -> str:
-    spec, key = silver.SPECS[table], TABLES[table].primary_key
-    required = [c for c in TABLES[table].columns if c != key and c not in spec.nullable]
-    future = " OR ".join(f"coalesce({c} > TIMESTAMP '{AS_OF}', false)" for c in spec.timestamps)
-    rules = [f"null_primary_keys: {key} IS NULL", "duplicate_pks: count(*) OVER (PARTITION BY " + key + ") > 1", f"future_timestamps: {future}", "type_consistency: " + " OR ".join(f"{c} IS NULL" for c in required), *_RULES[table]]
+    key = _KEYS[table]
+    future = " OR ".join(f"coalesce({c} > TIMESTAMP '{AS_OF}', false)" for c in _PAST[table].split())
+    missing = " OR ".join(f"{c} IS NULL" for c in _NEEDED[table].split())
+    rules = [f"null_primary_keys: {key} IS NULL", f"future_timestamps: {future}", f"type_consistency: {missing}", *_RULES[table], f"duplicate_pks: count(*) OVER (PARTITION BY {key}) > 1"]
     cases = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in (r.split(": ", 1) for r in rules))
     return _with(table, more=f", c AS ({_CLEAN[table]}), tagged AS (SELECT *, list_filter([{cases}], lambda x: x IS NOT NULL) AS v FROM c)")
 
@@ -445,11 +456,28 @@ def lag_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.lag(star(spark, sf_dir, "events").selectExpr("CAST(event_id % 1000 + user_id AS BIGINT) AS lag_ms"), "lag_ms")
 
 
-@query("drift_report", "SELECT * FROM (VALUES ('orders', 'amount', 'CHANGED', 'BREAKING', 'halt'), ('orders', 'status', 'DROPPED', 'BREAKING', 'halt'), ('orders', 'discount', 'RENAMED', 'AMBIGUOUS', 'halt'), ('orders', 'quantity', 'WIDENED', 'NON_BREAKING', 'halt')) t(table_name, column_name, change_type, severity, action)")
+#: Two schemas: column, spelling, and family, rank and scale of the spelling.
+_OLD = [("order_id", "bigint", "INTEGER", 64, 0), ("quantity", "int", "INTEGER", 32, 0), ("discount", "decimal(5,2)", "DECIMAL", 5, 2), ("status", "string", "STRING", 10**9, 0), ("amount", "int", "INTEGER", 32, 0), ("price", "decimal(12,2)", "DECIMAL", 12, 2), ("note", "text", "STRING", 10**9, 0)]
+_NEW = [("order_id", "bigint", "INTEGER", 64, 0), ("quantity", "bigint", "INTEGER", 64, 0), ("discount_code", "decimal(5,2)", "DECIMAL", 5, 2), ("amount", "string", "STRING", 10**9, 0), ("price", "numeric(14,1)", "DECIMAL", 14, 1), ("note", "varchar(20)", "STRING", 20, 0), ("loyalty", "smallint", "INTEGER", 16, 0)]
+# The rules of drift over the two schemas. A name that begins with another has 2 * len(short) / (both lengths) in common with it.
+_DRIFT = f"""WITH o AS (SELECT * FROM (VALUES {", ".join(map(str, _OLD))}) t(c, s, f, r, d)), n AS (SELECT * FROM (VALUES {", ".join(map(str, _NEW))}) t(c, s, f, r, d)),
+came AS (SELECT * FROM n WHERE c NOT IN (SELECT c FROM o)), went AS (SELECT * FROM o WHERE c NOT IN (SELECT c FROM n)),
+pairs AS (SELECT came.c, went.c AS was, went.s AS from_type, came.s AS to_type FROM came JOIN went USING (f, r, d) WHERE starts_with(came.c, went.c) AND 2.0 * length(went.c) / (length(went.c) + length(came.c)) >= 0.6),
+changes AS (
+  SELECT n.c, CASE WHEN n.f <> o.f THEN 'TYPE_CHANGED' WHEN n.r >= o.r AND n.d >= o.d THEN 'TYPE_WIDENED' ELSE 'TYPE_NARROWED' END AS t, o.s AS from_type, n.s AS to_type, NULL AS was FROM n JOIN o USING (c) WHERE (n.f, n.r, n.d) <> (o.f, o.r, o.d)
+  UNION ALL SELECT c, 'RENAMED', from_type, to_type, was FROM pairs
+  UNION ALL SELECT c, 'ADDED', NULL, s, NULL FROM came WHERE c NOT IN (SELECT c FROM pairs)
+  UNION ALL SELECT c, 'DROPPED', s, NULL, NULL FROM went WHERE c NOT IN (SELECT was FROM pairs)),
+graded AS (SELECT *, CASE WHEN t IN ('ADDED', 'TYPE_WIDENED') THEN 'NON_BREAKING' WHEN t = 'RENAMED' THEN 'AMBIGUOUS' ELSE 'BREAKING' END AS g FROM changes)
+SELECT 'orders' AS table_name, c AS column_name, t AS change_type, g AS severity, (SELECT CASE WHEN bool_or(g = 'BREAKING') THEN 'halt' WHEN bool_or(g = 'AMBIGUOUS') THEN 'review' WHEN count(*) > 0 THEN 'auto_evolve' ELSE 'none' END FROM graded) AS action,
+  from_type, to_type, was AS renamed_from, row_number() OVER (ORDER BY g <> 'BREAKING', c) AS place FROM graded"""
+
+
+@query("drift_report", _DRIFT)
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = {"order_id": "bigint", "quantity": "int", "discount": "decimal(5,2)", "status": "string", "amount": "int"}
-    new = {"order_id": "bigint", "quantity": "bigint", "discount_code": "decimal(5,2)", "amount": "string"}
-    return drift.report_frame(spark, drift.classify_drift(new, old, "orders")).drop("detail", "similarity", "detected_at")
+    report = drift.classify_drift({r[0]: r[1] for r in _NEW}, {r[0]: r[1] for r in _OLD}, "orders")
+    place = F.create_map(*[F.lit(x) for k, c in enumerate(report.changes, 1) for x in (c.column, k)])
+    return drift.report_frame(spark, report).drop("detail", "detected_at").withColumn("place", place[F.col("column_name")].cast("long"))
 
 
 @query("epoch_of_text", "SELECT event_id, epoch(ts) AS seconds FROM events")

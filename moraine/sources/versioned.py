@@ -27,8 +27,9 @@ class Commit:
     bucket_count: int = 1
     key: list[str] = field(default_factory=list)
     operation: str = "write"
-    batch_id: int | None = None
     metrics: dict[str, int] = field(default_factory=dict)
+    #: Stream -> its last batch in this table and that batch's metrics; handed on from version to version.
+    applied: dict[str, dict] = field(default_factory=dict)
 
 
 class VersionedTable:
@@ -78,7 +79,7 @@ class VersionedTable:
             df = df.filter(~F.col("_deleted")).drop("_deleted", "_lsn")
         return df
 
-    def write(self, df: DataFrame, *, key: list[str], buckets: int = 16, operation: str = "overwrite", replace: bool = True, batch_id: int | None = None, metrics: dict[str, int] | None = None, metrics_of=None) -> Commit:
+    def write(self, df: DataFrame, *, key: list[str], buckets: int = 16, operation: str = "overwrite", replace: bool = True, batch: tuple[str, int] | None = None, metrics: dict[str, int] | None = None, metrics_of=None) -> Commit:
         """A new version. ``replace``: of all rows and the schema; else only of the buckets that ``df`` (which has ``_bucket``) was made for, ``buckets`` a list of them.
 
         ``metrics_of``: called after the files are written, for counts observed while they were.
@@ -96,7 +97,9 @@ class VersionedTable:
         fs, p = self._fs(f"{self.path}/data/v={version}")
         there = {s.getPath().getName().split("=")[1] for s in fs.listStatus(p) if s.getPath().getName().startswith(BUCKET)}
         kept = {} if replace else {b: v for b, v in last.buckets.items() if int(b) not in touched}
-        commit = Commit(version, schema.jsonValue(), kept | {b: version for b in there}, count, key, operation, batch_id, metrics or (metrics_of() if metrics_of else {}))
+        counts = metrics or (metrics_of() if metrics_of else {})
+        applied = (last.applied if last else {}) | ({batch[0]: {"batch": batch[1], "metrics": counts}} if batch else {})
+        commit = Commit(version, schema.jsonValue(), kept | {b: version for b in there}, count, key, operation, counts, applied)
         self._record(commit)
         return commit
 

@@ -70,12 +70,14 @@ def stream_table(
     """Merges every micro-batch of envelopes into the table.
 
     Offsets are committed after the merge. If a job ends between the two, the
-    batch comes again under the same number, which the table's last record
-    has, and nothing is done twice.
+    batch comes again under the same number, which the table's record has for
+    this stream, and nothing is done twice. A stream is known by the id in its
+    checkpoint, so one with a fresh checkpoint starts its own count.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        metrics = apply_cdc_events(batch.sparkSession, batch, target_path, table, guard_lsn=guard_lsn, batch_id=batch_id)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint_path
+        metrics = apply_cdc_events(batch.sparkSession, batch, target_path, table, guard_lsn=guard_lsn, batch_id=batch_id, stream=stream)
         if on_batch:
             on_batch(batch_id, metrics)
 

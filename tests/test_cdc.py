@@ -57,6 +57,15 @@ def test_same_batch_twice(spark, tmp_path):
     assert rows(spark, path) == before
 
 
+def test_streams_count_their_own_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    apply(spark, path, [("c", 1, 1, "a", 1.0)], batch_id=0, stream="one")
+    assert apply(spark, path, [("c", 2, 2, "b", 1.0)], batch_id=0, stream="two").inserted == 1  # a fresh checkpoint starts at 0 again
+    assert apply(spark, path, [("u", 3, 2, "c", 1.0)]).updated == 1
+    apply(spark, path, [("d", 4, 1, "a", 1.0)], batch_id=0, stream="one")  # a replay behind other commits
+    assert sorted(r["id"] for r in VersionedTable(spark, path).read().collect()) == [1, 2]
+
+
 def test_replayed_batch_id_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     first = apply(spark, path, [("c", 1, 1, "a", 1.0)], batch_id=4)

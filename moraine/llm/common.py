@@ -51,6 +51,14 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores until no frame has such a column."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Most rows of ids (16 bytes each, or fewer) that are sent whole to every task; more of them are shuffled.
 BROADCAST_ROWS = 1_000_000
 

@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moraine.llm.common import checked, written
+from moraine.llm.common import checked, free_name, written
 from moraine.llm.words import ALNUM_TABLE, slices
 
 WINDOW = 13
-#: Words of benchmark text held by a task at a time.
-BLOCK = 2_000_000
+#: Words of benchmark text held by a task at a time: some 60 MB of phrases.
+BLOCK = 200_000
 #: Bytes of document text indexed at a time.
 SHARD = 4_000_000
 SAMPLE = 8
@@ -293,7 +293,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "d
     shared = _shared(docs, benchmark, block, window)
     if not shared:
         return docs
-    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()))
-    rows = keyed.select(F.col("_row").alias("row"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    gone = written(_judged(_found(rows, shared), "row").filter("contaminated").select(F.col("row").alias("_gone")))
-    return keyed.join(checked(gone), F.col("_row") == F.col("_gone"), "left_anti").drop("_row")
+    number = free_name("row", docs)
+    keyed = written(docs.withColumn(number, F.monotonically_increasing_id()))
+    rows = keyed.select(F.col(number).alias("row"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    gone = written(_judged(_found(rows, shared), "row").filter("contaminated").select(F.col("row").alias(number)))
+    return keyed.join(checked(gone), number, "left_anti").select(*docs.columns)

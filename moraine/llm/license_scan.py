@@ -4,8 +4,8 @@ The automaton of all templates is built once and sent to the tasks (its size
 is that of the templates, not of the data). A file's words run through it and
 give matching statistics: at each word, the length of the longest piece of any
 template that ends there, and a template that holds it. Long matches of one
-template are chained in order into covered spans; a template that is covered
-well enough becomes a label, and the best coverage is the score.
+template are chained in order into covered spans, each of a file's copies by
+itself; a template that is covered well enough becomes a label, and the best coverage is the score.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from moraine.llm.words import ALNUM_TABLE, slices
 
 PIECE = 4_000_000
+#: Templates of fewer tokens must be covered but for one token.
+SHORT = 10
 
 # The base phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -174,13 +176,21 @@ class Scanner:
                 if t < len(self.labels):
                     by_template.setdefault(t, []).append((begin, end))
         for t, found in sorted(by_template.items()):
-            covered, span = self._chain(words, t, found)
-            best = max(best, covered)
-            if covered >= self.share:
+            while found:  # every chain that covers enough; the rest of the file can hold the licence again
+                covered, span = self._chain(words, t, found)
+                best = max(best, covered)
+                if covered < self.needed(t):
+                    break
                 labels.add(self.labels[t])
                 spans.append((*span, self.labels[t]))
+                found = [(b, e) for b, e in found if e <= span[0] or b >= span[1]]
         return len(words), n_base, first, last, base, labels, 1.0 if base else best, spans
 
+    def needed(self, t: int) -> float:
+        """The covered share that makes a label. Short templates differ in a word or two, so all their tokens but one must stand."""
+        n = len(self.automaton.sequences[t])
+        return max(self.share, (n - 1) / n) if n < SHORT else self.share
+
     def _chain(self, words: list[bytes], t: int, found: list[tuple[int, int]]) -> tuple[float, tuple[int, int]]:
         """The largest share of template ``t`` that matches cover in its own order inside twice its length, and their span."""
         template = self.automaton.sequences[t]

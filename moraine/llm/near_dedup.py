@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from moraine.llm.common import checked, written
+from moraine.llm.common import checked, free_name, written
 from moraine.llm.components import components
 from moraine.llm.words import Words, grams, mix, slices, words
 
@@ -270,8 +270,6 @@ def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", per
     they are, whatever their names.
     """
     gone = written(_numbered(docs, key=key, text=text, percent=percent).filter("not kept").select("doc_id", "text_hash").distinct())
-    new = [f"{c}__gone" for c in gone.columns]
-    while set(new) & set(docs.columns):
-        new = [f"{c}_" for c in new]
+    new = [free_name(c, docs) for c in gone.columns]
     gone = checked(gone.toDF(*new))
     return docs.join(gone, (docs[key].cast("long") == gone[new[0]]) & (F.xxhash64(docs[text]) == gone[new[1]]), "left_anti")

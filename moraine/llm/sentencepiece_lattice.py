@@ -41,7 +41,7 @@ SHORT, LONGEST = 28, 60
 #: Largest lexicon (bytes of its parts and ids) that is sent to every task.
 BROADCAST_BYTES = 96_000_000
 #: Bytes of text that a task cuts at a time.
-PIECE = 8_000_000
+PIECE = 4_000_000
 
 _MARK = "▁"
 _NEVER = 1 << 30

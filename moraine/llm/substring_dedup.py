@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moraine.llm.common import free_name
 from moraine.llm.words import grams, mix, slices, words
 
 WINDOW = 20
@@ -212,10 +213,12 @@ def _kept(text: str | None, begins: list[int] | None, ends: list[int] | None) ->
     return len(parts), len(parts) - len(kept), b" ".join(kept), kept
 
 
-def _with_spans(docs: DataFrame, rows: DataFrame, **options) -> DataFrame:
-    spans = repeated_spans(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("begin", "end")).alias("_spans"))
-    spans = spans.select("_id", F.col("_spans.begin").alias("_begins"), F.col("_spans.end").alias("_ends"))
-    return rows.join(spans.hint("shuffle_hash"), F.col("_key") == F.col("_id"), "left").drop("_id", "_key")
+def _with_spans(docs: DataFrame, names: tuple[str, str], *, key: str, text: str, window: int) -> DataFrame:
+    """``docs`` with two columns more, ``names``: where the repeated spans of a row's document begin and end."""
+    own = free_name("key", docs)
+    spans = repeated_spans(docs, key=key, text=text, window=window).groupBy("doc_id").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    spans = spans.select(F.col("doc_id").alias(own), F.col("spans.begin").alias(names[0]), F.col("spans.end").alias(names[1]))
+    return docs.join(spans.hint("shuffle_hash"), F.col(key).cast("long") == F.col(own), "left").drop(own)
 
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -223,28 +226,34 @@ def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", win
 
     The digest is that of the kept words joined by one space (of nothing: the
     empty string's). Null texts have no words; rows with a null id keep all.
+    Other columns, whatever their names, are ignored; an empty table gives no
+    rows.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(key).cast("long").alias("_key"), F.col(text).alias("text"))
-    joined = _with_spans(docs, rows, key=key, text=text, window=window)
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    joined = _with_spans(rows, ("begins", "ends"), key="doc_id", text="text", window=window)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE):
-            out = [_kept(*row) for row in zip(*[batch.column(c).to_pylist() for c in ("text", "_begins", "_ends")])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([hashlib.sha256(x[2]).hexdigest() for x in out])], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+            out = [_kept(*row) for row in zip(*[batch.column(c).to_pylist() for c in ("text", "begins", "ends")])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([hashlib.sha256(x[2]).hexdigest() for x in out])], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return joined.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with the repeated words gone from ``text``; texts that lose none stay as they are, the others' words are joined by one space."""
-    rows = docs.withColumn("_key", F.col(key).cast("long"))
-    joined = _with_spans(docs, rows, key=key, text=text, window=window)
+    """``docs`` with the repeated words gone from ``text``; texts that lose none stay as they are, the others' words are joined by one space.
+
+    Rows with a null id or text stay as they are; all other columns do too,
+    whatever their names. A text all of whose words go becomes empty.
+    """
+    begin, end = free_name("begins", docs), free_name("ends", docs)
+    joined = _with_spans(docs, (begin, end), key=key, text=text, window=window)
     schema = docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, PIECE):
-            texts, begins, ends = (batch.column(c).to_pylist() for c in (text, "_begins", "_ends"))
+            texts, begins, ends = (batch.column(c).to_pylist() for c in (text, begin, end))
             new = [_kept(t, b, e)[2].decode("utf-8", "surrogatepass") if b else t for t, b, e in zip(texts, begins, ends)]
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if f.name == text else batch.column(f.name) for f in schema], names=schema.names)
 
-    return joined.select(*docs.columns, "_begins", "_ends").mapInArrow(cut, schema)
+    return joined.select(*docs.columns, begin, end).mapInArrow(cut, schema)

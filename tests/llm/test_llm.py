@@ -109,6 +109,16 @@ def test_matching_statistics_by_brute_force():
             assert got.get(i, 0) == best
 
 
+def test_short_templates_need_their_words_and_every_copy_is_a_span():
+    s = license_scan.scanner()
+    for text in ("released under the", "Released under the Apache License", "Licensed under CC BY-ND 4.0", "Licensed under CC BY-NC-ND 4.0."):
+        assert s.scan(text)[5] <= ({"apache"} if "Apache" in text else set()), text
+    mit = license_scan.TEMPLATES["mit"][1]
+    twice = s.scan(f"hereby granted free {mit} {'x ' * 300} {mit} end")
+    n = len(license_scan.tokens(mit))
+    assert [x[1] - x[0] for x in twice[7]] == [n, n] and twice[5] == {"mit"}
+
+
 def test_license_rows(spark):
     docs = documents(spark, [*TEXTS, "Licensed under CC BY-NC 4.0.", "released UNDER the mit license!"])
     rows = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
@@ -309,6 +319,9 @@ def test_substring_cases(spark):
     a, b = substring_dedup.deduplicate(twice).collect()
     assert a == b and a["n_removed"] == substring_dedup.deduplicate(twice.limit(1)).first()["n_removed"]
     assert substring_dedup.deduplicate(documents(spark, [LONG], [None])).first()["n_removed"] == 0
+    clash = documents(spark, [LONG, None], [None, 1]).withColumn("key", F.lit(1)).withColumn("begins", F.lit("b")).withColumn("ends", F.lit("e")).withColumn("doc", F.lit(2))
+    cut = substring_dedup.without_repeats(clash)
+    assert cut.columns == clash.columns and sorted(map(str, cut.collect())) == sorted(map(str, clash.collect()))
     assert substring_dedup.deduplicate(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         substring_dedup.repeated_spans(docs, window=10)
@@ -437,7 +450,9 @@ def test_decontamination_rows(spark):
     assert [d for d, r in rows.items() if r["contaminated"]] == [4, 5, 6] and rows[4]["items_sha256"] == hashlib.sha256(b"1").hexdigest()
     blocks = {r["doc_id"]: r for r in decontaminate.decontaminate(docs, bench, block=3).collect()}
     assert blocks == rows  # the benchmark in blocks gives the same
-    assert decontaminate.without_contaminated(docs, bench).count() == len(TEXTS) - 3
+    clash = docs.withColumn("row", F.lit(1)).withColumn("_row", F.lit(2)).withColumn("contaminated", F.lit("x"))
+    left = decontaminate.without_contaminated(clash, bench)
+    assert left.count() == len(TEXTS) - 3 and left.columns == clash.columns
     empty = decontaminate.decontaminate(docs, bench.limit(0)).collect()
     assert {r["doc_id"]: r["n_words"] for r in empty} == {d: r["n_words"] for d, r in rows.items()} and not any(r["contaminated"] for r in empty)
     assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0

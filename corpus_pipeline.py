@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)``, works on all that the stage before
 kept, and returns a DataFrame, which is written as Parquet and read again as
-the next one's documents. All but the last return the columns of documents.
+the next one's documents. All but the last return the columns of documents;
+columns of any other name are handed on, and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -15,23 +16,28 @@ from moraine.llm.common import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is under the threshold; null, empty and wordless texts get the share of toxic labels, and stay."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document (by id) of each group of near duplicates at a similarity of 0.8; rows without an id or without words stay."""
     return near_dedup.one_of_each(docs, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without words covered by windows that also start earlier; ``n_chars`` is counted anew (null texts stay null)."""
     cut = substring_dedup.without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't contaminated by the benchmark, row by row, whatever their ids."""
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, lossless`` for every document left; null and empty texts have no ids."""
     return sentencepiece_lattice.encode(docs)
 
 

@@ -40,6 +40,8 @@ MODEL = os.environ.get("MORAINE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.mod
 SHORT, LONGEST = 28, 60
 #: Largest lexicon (bytes of its parts and ids) that is sent to every task.
 BROADCAST_BYTES = 96_000_000
+#: Parts whose edges a task groups; each has some 25, of 100 bytes.
+PARTS = 5_000
 #: Bytes of text that a task cuts at a time.
 PIECE = 4_000_000
 
@@ -437,19 +439,23 @@ def _folded(found: DataFrame, table: Pieces) -> DataFrame:
 
 
 def _packed(rows: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    parts, ids = rows.column("part").combine_chunks().cast(pa.large_string()), rows.column("ids").combine_chunks()
+    """Parts, how many ids each has, and all ids in a row."""
+    parts, ids = rows.column("part").combine_chunks(), rows.column("ids").combine_chunks()
     return parts, np.asarray(pc.list_value_length(ids)).astype(np.int16), np.asarray(ids.flatten()).astype(np.uint16)
 
 
 def looked_up(parts: pa.Array, size: np.ndarray, flat: np.ndarray, table: Pieces) -> Resolve:
     """Distinct parts from a lexicon; characters that are no pieces and parts over ``LONGEST`` characters by the model's rule."""
-    start = np.cumsum(size, dtype=np.int64) - size
+    start = (np.cumsum(size, dtype=np.int64) - size).astype(np.uint32)
     rest = own_rule(table)
 
     def resolve(asked: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        at = pc.index_in(asked, value_set=parts)
-        missing = np.asarray(pc.is_null(at))
-        place = np.asarray(at.fill_null(0))
+        # What is asked for is the small side that a hash table is made of.
+        at = pc.index_in(parts, value_set=asked.cast(pa.string()))
+        place = np.full(len(asked), -1)
+        place[np.asarray(at.drop_null())] = np.flatnonzero(np.asarray(at.is_valid()))
+        missing = place < 0
+        place[missing] = 0
         n = np.where(missing, 0, size[place] if len(size) else 0).astype(np.int64)
         if missing.any():
             own, own_flat = rest(asked.filter(pa.array(missing)))
@@ -458,7 +464,7 @@ def looked_up(parts: pa.Array, size: np.ndarray, flat: np.ndarray, table: Pieces
         begin = np.cumsum(n) - n
         known = ~missing
         if known.any():
-            out[gather(begin[known], n[known])] = flat[gather(start[place[known]], n[known])]
+            out[gather(begin[known], n[known])] = flat[gather(start[place[known]].astype(np.int64), n[known])]
         if missing.any():
             out[gather(begin[missing], n[missing])] = own_flat
         return n, out
@@ -526,9 +532,10 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", model: s
     table = pieces(model)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = written(distinct_parts(rows, table))
-    # Dealt by part once, so that grouping the edges needs no shuffle; groups of a task stay in memory up to a number.
-    with setting(docs.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "50000"):
-        found = written(lexicon(parts.repartition("part"), table))
+    # Dealt by part once, so that grouping the edges needs no shuffle, to tasks of few enough parts to group them in memory.
+    tasks = max(1, -(-parts.count() // PARTS))
+    with setting(docs.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(2 * PARTS)):
+        found = written(lexicon(parts.repartition(tasks, "part"), table))
     size = found.agg(F.sum(F.octet_length("part") + 2 * F.size("ids") + 10)).first()[0] or 0
     if size <= broadcast_bytes:
         shared = docs.sparkSession.sparkContext.broadcast((table, *_packed(found.toArrow())))

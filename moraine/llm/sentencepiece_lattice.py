@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +39,14 @@ from moraine.llm.words import buffers, slices
 MODEL = os.environ.get("MORAINE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Longest part whose bounds, and those of edges that wait, fit one number together; and whose bounds alone do.
 SHORT, LONGEST = 28, 60
-#: Largest lexicon (bytes of its parts and ids) that is sent to every task.
-BROADCAST_BYTES = 96_000_000
+#: Largest lexicon (bytes of its parts' hashes and ids) that is sent to every task.
+BROADCAST_BYTES = 64_000_000
 #: Parts whose edges a task groups; each has some 25, of 100 bytes.
 PARTS = 5_000
 #: Bytes of text that a task cuts at a time.
-PIECE = 4_000_000
+PIECE = 2_000_000
+#: Spark's own seed of xxhash64.
+SEED = 42
 
 _MARK = "▁"
 _NEVER = 1 << 30
@@ -438,35 +441,45 @@ def _folded(found: DataFrame, table: Pieces) -> DataFrame:
     return grouped.select("part", (_viterbi_fold if table.unigram else _turns_fold)(F.col("edges"), F.col("n"), on_path).alias("ids"))
 
 
-def _packed(rows: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Parts, how many ids each has, and all ids in a row."""
-    parts, ids = rows.column("part").combine_chunks(), rows.column("ids").combine_chunks()
-    return parts, np.asarray(pc.list_value_length(ids)).astype(np.int16), np.asarray(ids.flatten()).astype(np.uint16)
+Lexicon = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def looked_up(parts: pa.Array, size: np.ndarray, flat: np.ndarray, table: Pieces) -> Resolve:
-    """Distinct parts from a lexicon; characters that are no pieces and parts over ``LONGEST`` characters by the model's rule."""
+def _packed(rows: pa.Table) -> Lexicon:
+    """Parts' hashes in order, where each one's ids start and how many there are, and all ids in a row, from ``key, ids``."""
+    key, ids = np.asarray(rows.column("key").combine_chunks()), rows.column("ids").combine_chunks()
+    size = np.asarray(pc.list_value_length(ids)).astype(np.int16)
     start = (np.cumsum(size, dtype=np.int64) - size).astype(np.uint32)
+    order = np.argsort(key, kind="stable")
+    return key[order], start[order], size[order], np.asarray(ids.flatten()).astype(np.uint16)
+
+
+def looked_up(found: Lexicon, table: Pieces, decoder: Decoder) -> Resolve:
+    """Distinct parts from a lexicon; characters that are no pieces and parts over ``LONGEST`` characters by the model's rule.
+
+    Parts are found by hash. Ids that don't stand for the part's own bytes are another part's, and go by the rule too.
+    """
+    key, start, size, flat = found
     rest = own_rule(table)
 
     def resolve(asked: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        # What is asked for is the small side that a hash table is made of.
-        at = pc.index_in(parts, value_set=asked.cast(pa.string()))
-        place = np.full(len(asked), -1)
-        place[np.asarray(at.drop_null())] = np.flatnonzero(np.asarray(at.is_valid()))
-        missing = place < 0
-        place[missing] = 0
-        n = np.where(missing, 0, size[place] if len(size) else 0).astype(np.int64)
-        if missing.any():
-            own, own_flat = rest(asked.filter(pa.array(missing)))
-            n[missing] = own
+        data, offsets = buffers(asked)
+        own_key = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in asked.cast(pa.large_binary()).to_pylist()), np.uint64, len(asked)).view(np.int64)
+        place = np.minimum(np.searchsorted(key, own_key), max(len(key) - 1, 0))
+        known = np.flatnonzero(key[place] == own_key) if len(key) else np.zeros(0, np.int64)
+        n = np.zeros(len(asked), np.int64)
+        n[known] = size[place[known]]
+        bytes_ = np.diff(offsets)[known]
+        ids = flat[gather(start[place[known]].astype(np.int64), n[known])]
+        same = decoder.same(ids, n[known], data[gather(offsets[known], bytes_)], bytes_)
+        missing = np.ones(len(asked), bool)
+        missing[known[same]] = False
+        own, own_flat = rest(asked.filter(pa.array(missing)))
+        ids = ids[np.repeat(same, n[known])]
+        n[missing] = own
         out = np.zeros(int(n.sum()), np.int32)
         begin = np.cumsum(n) - n
-        known = ~missing
-        if known.any():
-            out[gather(begin[known], n[known])] = flat[gather(start[place[known]].astype(np.int64), n[known])]
-        if missing.any():
-            out[gather(begin[missing], n[missing])] = own_flat
+        out[gather(begin[~missing], n[~missing])] = ids
+        out[gather(begin[missing], own)] = own_flat
         return n, out
 
     return resolve
@@ -536,13 +549,15 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", model: s
     tasks = max(1, -(-parts.count() // PARTS))
     with setting(docs.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(2 * PARTS)):
         found = written(lexicon(parts.repartition(tasks, "part"), table))
-    size = found.agg(F.sum(F.octet_length("part") + 2 * F.size("ids") + 10)).first()[0] or 0
+    keyed = found.select("part", F.xxhash64("part").alias("key"), "ids")
+    size = found.agg(F.sum(2 * F.size("ids") + 14)).first()[0] or 0
     if size <= broadcast_bytes:
-        shared = docs.sparkSession.sparkContext.broadcast((table, *_packed(found.toArrow())))
+        shared = docs.sparkSession.sparkContext.broadcast((table, _packed(keyed.select("key", "ids").toArrow())))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, *rest = shared.value
-            decoder, resolve = Decoder(own.table), looked_up(*rest, own)
+            own, known = shared.value
+            decoder = Decoder(own.table)
+            resolve = looked_up(known, own, decoder)
             for batch in slices(batches, "text", PIECE):
                 yield _encoded(batch, own, decoder, resolve)
 
@@ -550,7 +565,7 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", model: s
 
     # A text asks for its own parts; equal texts ask once. What comes back to a text is bounded by the text.
     texts = rows.withColumn("asks", F.xxhash64("text"))
-    lists = _asked(texts, table).join(found, "part").groupBy("asks").agg(F.collect_list(F.struct("part", "ids")).alias("known"))
+    lists = _asked(texts, table).join(keyed, "part").groupBy("asks").agg(F.collect_list(F.struct("key", "ids")).alias("known"))
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -559,8 +574,8 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", model: s
         for batch in slices(batches, "text", PIECE):
             known = batch.column("known").flatten()
             # Equal parts of several texts have equal ids: the first is found.
-            parts, size, flat = _packed(pa.table({"part": known.field("part"), "ids": known.field("ids")}))
-            yield _encoded(batch, own, decoder, looked_up(parts, size, flat, own))
+            own_parts = _packed(pa.table({"key": known.field("key"), "ids": known.field("ids")}))
+            yield _encoded(batch, own, decoder, looked_up(own_parts, own, decoder))
 
     return texts.join(lists, "asks", "left").select("doc_id", "text", "known").mapInArrow(look, SCHEMA)
 

@@ -38,6 +38,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes of text whose words are hashed at a time.
+BLOCK = 250_000
+
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _POWERS = np.ones(1, dtype=np.uint64)
 
@@ -102,11 +105,16 @@ def words(texts: pa.Array, *, lower: bool = False, alnum: bool = False) -> Words
     if len(start) == 0:
         return Words(start.astype(np.uint64), start, end, doc, first, buffer, offsets)
     length = end - start
-    where = np.flatnonzero(inside)
-    begin = np.cumsum(length) - length
-    at = np.arange(len(where)) - np.repeat(begin, length)
-    terms = _TABLE[buffer[where]] * _powers(int(length.max()) + 1)[at]
-    total = np.add.reduceat(terms, begin)
+    powers = _powers(int(length.max()) + 1)
+    total = np.empty(len(start), np.uint64)
+    a = 0
+    while a < len(start):  # some words at a time: each of their bytes takes some 40 in between
+        b = max(a + 1, int(np.searchsorted(start, start[a] + BLOCK)))
+        where = np.flatnonzero(inside[start[a] : end[b - 1]]) + start[a]
+        begin = np.cumsum(length[a:b]) - length[a:b]
+        at = np.arange(len(where)) - np.repeat(begin, length[a:b])
+        total[a:b] = np.add.reduceat(_TABLE[buffer[where]] * powers[at], begin)
+        a = b
     return Words(mix(total + length.astype(np.uint64)), start, end, doc, first, buffer, offsets)
 
 

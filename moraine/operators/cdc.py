@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -176,14 +177,27 @@ def apply_cdc_events(
 
 
 def upsert(spark: SparkSession, rows: DataFrame, path: str, key: list[str], *, buckets: int = 4) -> None:
-    """Rows replace those with the same composite key; the rest stays. Used for metadata and incremental marts."""
+    """Rows replace those with the same composite key; the rest stays. Used for metadata and incremental marts.
+
+    Only the buckets that the rows' keys fall into are read and rewritten. The
+    rows are cast to the stored types, so that equal keys share a bucket.
+    """
     store = VersionedTable(spark, path)
     if not store.exists():
         store.write(rows, key=key, buckets=buckets, operation="upsert")
         return
-    old = store.read()
-    same = [old[k].eqNullSafe(rows[k]) for k in key]
-    condition = same[0]
-    for s in same[1:]:
-        condition = condition & s
-    store.write(old.join(rows, condition, "left_anti").unionByName(rows), key=key, buckets=store.commit().bucket_count, operation="upsert")
+    last, stored = store.commit(), store.read().schema
+    if last.key != key:
+        raise ValueError(f"{path} is keyed by {last.key}, not by {key}")
+    if set(rows.columns) != set(stored.names):
+        raise SchemaMismatchError(path, set(rows.columns) - set(stored.names), set(stored.names) - set(rows.columns))
+    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored]).persist()
+    try:
+        touched = sorted(r[0] for r in rows.select(bucket_of(key, last.bucket_count).alias("b")).distinct().collect())  # at most as many numbers as buckets
+        if touched:
+            old = store.read(buckets=touched)
+            same = reduce(Column.__and__, [old[k].eqNullSafe(rows[k]) for k in key])
+            new = old.join(rows, same, "left_anti").unionByName(rows).withColumn(BUCKET, bucket_of(key, last.bucket_count))
+            store.write(new, key=key, buckets=touched, operation="upsert", replace=False)
+    finally:
+        rows.unpersist()

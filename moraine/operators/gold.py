@@ -64,10 +64,12 @@ def customer_segments(customers: DataFrame, orders: DataFrame, *, since: Column
     """Lifetime figures per customer; ``since`` keeps customers with an order from then on, with all their orders.
 
     Orders are reduced to a row per customer before the join, so what is
-    shuffled for it doesn't grow with a customer's orders.
+    shuffled for it doesn't grow with a customer's orders; with ``since``, only
+    the affected customers' orders are.
     """
     if since is not None:
-        customers = customers.join(orders.filter(F.col("created_at") >= since).select("customer_id"), "customer_id", "left_semi")
+        affected = orders.filter(F.col("created_at") >= since).select(F.col("customer_id").alias("_affected")).distinct()
+        customers, orders = (df.join(affected, F.col("customer_id") == F.col("_affected"), "left_semi") for df in (customers, orders))
     totals = orders.groupBy("customer_id").agg(F.count("order_id").alias("n"), F.sum("total_amount").alias("total"), F.count("total_amount").alias("priced"), F.max("created_at").alias("last_order_at"))
     value = F.coalesce(F.round(F.col("total").cast("decimal(24,6)") / F.nullif(F.col("priced"), F.lit(0)), 2), F.lit(0))
     return customers.join(totals, "customer_id", "left").select(

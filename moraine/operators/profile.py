@@ -44,7 +44,10 @@ def profile(df: DataFrame, table: str, *, exact: bool = False, samples: bool = T
 
 
 def sample_values(df: DataFrame) -> DataFrame:
-    """``column_name, sample_values``: up to ``SHOWN`` distinct values of each column's first ``SAMPLED`` non-null rows, in encounter order."""
+    """``column_name, sample_values``: up to ``SHOWN`` distinct values of each column's first ``SAMPLED`` non-null rows, in encounter order.
+
+    Which rows come first is up to the scan; a sort of the table would cost more than a sample is worth.
+    """
     parts = []
     for f in df.schema:
         few = df.select(F.col(f.name).cast("string").alias("v")).filter("v is not null").limit(SAMPLED)

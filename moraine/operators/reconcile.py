@@ -19,6 +19,8 @@ TIMESTAMPS = frozenset(["created_at", "updated_at", "shipped_at", "delivered_at"
 SAMPLE_SIZE = 1000
 COUNT_DELTA = 0.01
 STORED = 20
+#: A sample of at most so many keys is sent to every task; a larger one is shuffled.
+BROADCAST_KEYS = 1_000_000
 
 
 def side_stats(df: DataFrame, columns: list[str], side: str, *, null_marker: str | None = None) -> DataFrame:
@@ -34,9 +36,9 @@ def gated(stats: DataFrame) -> DataFrame:
 
 
 def sample(df: DataFrame, key: str, size: int = SAMPLE_SIZE, seed: int | None = None) -> DataFrame:
-    """``size`` rows: the first by a hash of the key, or random ones if ``seed`` is given. A top-k, not a sort."""
-    order = [F.md5(F.col(key).cast("string")), F.col(key)] if seed is None else [F.rand(seed)]
-    return df.orderBy(*order).limit(size)
+    """``size`` rows: the first by a hash of the key, which ``seed`` changes. A top-k, not a sort, and the same keys each time it runs."""
+    text = F.col(key).cast("string") if seed is None else F.concat(F.lit(f"{seed}/"), F.col(key).cast("string"))
+    return df.orderBy(F.md5(text), F.col(key)).limit(size)
 
 
 def differs(name: str, a: Column, a_type: DataType, b: Column, b_type: DataType, *, ts_tolerance: float = 1.0, dec_tolerance: float = 0.01) -> Column:
@@ -85,10 +87,14 @@ def sample_diff(source: DataFrame, target: DataFrame, key: str, columns: list[st
     """``key, missing_in_target, fields`` of the sampled source rows that are missing or differ.
 
     Like the sample, this looks from the source to the target: rows that only
-    the target has show in the counts, the checksum and ``full_diff``.
+    the target has show in the counts, the checksum and ``full_diff``. The
+    target is cut to the sample's keys where it is read, so it isn't shuffled.
     """
     picked = sample(source, key, size, seed)
-    s, t = picked.alias("s"), target.withColumn("_there", F.lit(True)).alias("t")
+    keys = picked.select(F.col(key).alias("_sampled_key"))
+    keys = F.broadcast(keys) if size <= BROADCAST_KEYS else keys
+    near = target.join(keys, F.col(key) == F.col("_sampled_key"), "left_semi")
+    s, t = picked.alias("s"), near.withColumn("_there", F.lit(True)).alias("t")
     joined = s.join(t, F.col(f"s.{key}") == F.col(f"t.{key}"), "left")
     missing = F.col("t._there").isNull()
     fields = F.when(missing, F.expr("cast(array() as array<string>)")).otherwise(compare_columns(columns, source.schema, target.schema, **tolerances))

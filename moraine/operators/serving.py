@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Parts that the values of a group are cut into for percentiles.
+PARTS = 256
+
 
 def latest_run(runs: DataFrame, by: str, at: str) -> DataFrame:
     """All rows of each ``by``'s newest run, by time and not by the run's random id."""
@@ -53,18 +58,43 @@ def drift_by_severity(events: DataFrame) -> DataFrame:
 
 
 def percentile(rows: DataFrame, value: str, percents: list[int], by: list[str] | None = None) -> DataFrame:
-    """Nearest-rank percentiles: the value at place ``round(p / 100 * (n - 1))`` of each group, halves to even.
+    """Nearest-rank percentiles of numbers or times: the value at place ``round(p / 100 * (n - 1))`` of each group, halves to even.
 
-    Equal values are counted first, so the running count is over distinct
-    values and a group is never listed.
+    Equal values are counted first. Approximate quantiles cut each group into
+    ``PARTS`` parts, the parts' counts tell which of them hold a wanted place,
+    and only those are put in order. No task sorts a whole group, and wherever
+    the cuts fall, the result is exact.
     """
     by = by or []
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("c"))
-    w = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    placed = counts.withColumn("upto", F.sum("c").over(w.orderBy(value))).withColumn("n", F.sum("c").over(w))
-    p = F.explode(F.array(*[F.lit(x) for x in percents]))
-    at = placed.withColumn("percent", p).withColumn("place", F.bround(F.col("percent") / 100.0 * (F.col("n") - 1), 0).cast("long"))
-    return at.filter((F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("c"))).select(*by, F.col("percent").cast("int").alias("percent"), F.col(value).alias("value"))
+    given = rows.filter(F.col(value).isNotNull())
+    cuts = given.groupBy(*by).agg(F.percentile_approx(value, [i / PARTS for i in range(1, PARTS)]).alias("_cuts"))
+    counts = given.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    cut = _beside(counts, cuts, by).withColumn("_part", F.size(F.filter("_cuts", lambda x: x <= F.col(value)))).drop("_cuts")
+    parts = cut.groupBy(*by, "_part").agg(F.sum("_c").alias("_size"))
+    w = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))  # PARTS rows a group
+    placed = parts.withColumn("_upto", F.sum("_size").over(w.orderBy("_part"))).withColumn("_n", F.sum("_size").over(w))
+    placed = placed.withColumn("percent", F.explode(F.array(*[F.lit(x) for x in percents]))).withColumn("_place", F.bround(F.col("percent") / 100.0 * (F.col("_n") - 1), 0).cast("long"))
+    wanted = placed.filter("_place < _upto and _place >= _upto - _size").select(*by, "_part", "percent", (F.col("_place") - F.col("_upto") + F.col("_size")).alias("_inside"))
+    inside = _beside(cut, wanted, [*by, "_part"]).withColumn("_upto", F.sum("_c").over(W.partitionBy(*by, "_part", "percent").orderBy(value)))
+    return inside.filter("_inside < _upto and _inside >= _upto - _c").select(*by, F.col("percent").cast("int").alias("percent"), F.col(value).alias("value"))
+
+
+def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """The inner join on ``keys``, of which nulls are equal too; without keys, ``right`` is one row."""
+    right = right.select(*[F.col(c).alias(f"_right_{c}" if c in keys else c) for c in right.columns])
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(right, reduce(Column.__and__, same, F.lit(True))).drop(*[f"_right_{k}" for k in keys])
+
+
+def profile_of(profiles: DataFrame, table: str, column: str | None = None) -> DataFrame:
+    """The stored profile of a table's columns, or of one of them."""
+    rows = profiles.filter(F.col("table_name") == table)
+    return (rows if column is None else rows.filter(F.col("column_name") == column)).orderBy("column_name")
+
+
+def recon_statuses(summary: DataFrame) -> DataFrame:
+    """Tables by their status, the last in the alphabet first, then by name."""
+    return summary.select("table_name", "reconciliation_status").orderBy(F.desc("reconciliation_status"), "table_name")
 
 
 def lag(rows: DataFrame, value: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -84,7 +85,7 @@ def promote(spark: SparkSession, paths: Paths, tables: list[str], *, suites: lis
 
 
 def build_gold(spark: SparkSession, paths: Paths, *, full: bool = False) -> Run:
-    """All marts from Silver; incremental ones continue from where they are."""
+    """All marts from Silver; incremental ones continue from where they are. Marts that fail their suite stop the run."""
     run, read = Run(), lambda t: VersionedTable(spark, paths.of("silver", t)).read()
     orders, customers = gold.stage_orders(read("orders")), gold.stage_customers(read("customers"))
     if full:
@@ -97,6 +98,10 @@ def build_gold(spark: SparkSession, paths: Paths, *, full: bool = False) -> Run:
         health = gold.inventory_health(gold.stage_inventory(read("inventory")), gold.stage_products(read("products")))
         VersionedTable(spark, paths.of("gold", "gold_inventory_health")).write(health, key=["product_id"], buckets=4, operation="full")
     run.note("gold", "built")
+    result = expectations.run_suite(spark, "gold_suite", paths.of("gold"), results_path=paths.of("meta", "validation_results"))
+    run.note("gold_suite", result.success)
+    if not result.success:
+        raise GateFailed(f"gold_suite: {[r.expectation for r in result.results if not r.success]}")
     return run
 
 
@@ -106,9 +111,9 @@ def reconcile_all(spark: SparkSession, paths: Paths, sources: dict[str, DataFram
     for name, source in sources.items():
         r = reconcile.reconciled(source, VersionedTable(spark, paths.of(layer, name)).read(), TABLES[name])
         rows = r if rows is None else rows.unionByName(r)
-    now = rows.withColumn("reconciled_at", F.current_timestamp())
+    now = rows.withColumns({"run_id": F.lit(uuid.uuid4().hex[:12]), "reconciled_at": F.current_timestamp()})
     now.withColumn("discrepancies", F.to_json("discrepancies")).write.mode("append").parquet(paths.of("meta", "reconciliation_history"))
-    history = spark.read.parquet(paths.of("meta", "reconciliation_history"))
+    history = spark.read.option("mergeSchema", "true").parquet(paths.of("meta", "reconciliation_history"))
     newest = history.groupBy("table_name").agg(F.max_by(F.struct("*"), "reconciled_at").alias("r")).select("r.*")
     recon = newest.select("table_name", F.col("source_count").alias("source_rows"), "count_match", "checksum_match", "sample_mismatches", F.col("status").alias("reconciliation_status"), F.lit("v1").alias("schema_version"), "reconciled_at")
     cdc.upsert(spark, recon, paths.of("meta", "migration_metadata"), ["table_name"], buckets=1)

@@ -217,13 +217,47 @@ SELECT * FROM (
 
 @query("quality_orders_suite", _SUITE_SQL)
 def quality_orders_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole suite: row-wise checks fused, the others on their own. One small row per expectation comes back."""
-    checks, _ = expectations.SUITES["silver_orders_suite"]
-    ctx = expectations.ValidationContext({"orders": _silver_orders(spark, sf_dir), "customers": entity(spark, sf_dir, "customers"), "products": entity(spark, sf_dir, "products")})
-    rows = [(r.expectation, i, sum(r.observed.values())) for i, r in enumerate(expectations.validate(ctx, checks))]
+    return _suite(spark, "silver_orders_suite", {"orders": _silver_orders(spark, sf_dir), "customers": entity(spark, sf_dir, "customers"), "products": entity(spark, sf_dir, "products")})
+
+
+def _suite(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """A whole suite: row-wise checks fused, the others on their own. One small row per expectation comes back."""
+    checks, _ = expectations.SUITES[name]
+    rows = [(r.expectation, i, sum(r.observed.values())) for i, r in enumerate(expectations.validate(expectations.ValidationContext(tables), checks))]
     return spark.createDataFrame(rows, "expectation string, position int, unexpected long")
 
 
+@query(
+    "quality_customers_suite",
+    _with("customers", more=f", c AS ({_CLEAN['customers']})")
+    + """
+SELECT * FROM (
+  SELECT 'ExpectColumnValuesToNotBeNull' AS expectation, 0 AS position, (SELECT count(*) FROM c WHERE customer_id IS NULL) AS unexpected UNION ALL
+  SELECT 'ExpectColumnValuesToBeUnique', 1, (SELECT count(*) FROM (SELECT customer_id FROM c GROUP BY 1 HAVING count(*) > 1)) UNION ALL
+  SELECT 'ExpectColumnValuesToNotBeNull', 2, (SELECT count(*) FROM c WHERE email IS NULL) UNION ALL
+  SELECT 'ExpectColumnValuesToBeInSet', 3, (SELECT count(*) FROM c WHERE segment NOT IN ('consumer', 'smb', 'enterprise')) UNION ALL
+  SELECT 'ExpectColumnValuesToBeInSet', 4, (SELECT count(*) FROM c WHERE region NOT IN ('NA', 'EMEA', 'APAC', 'LATAM')) UNION ALL
+  SELECT 'ExpectTimestampMonotonicity', 5, (SELECT count(*) FROM c WHERE updated_at < created_at)
+)""",
+)
+def quality_customers_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _suite(spark, "silver_customers_suite", {"customers": silver.clean("customers", entity(spark, sf_dir, "customers"))})
+
+
+@query(
+    "quality_inventory_suite",
+    _with("inventory")
+    + """
+SELECT * FROM (
+  SELECT 'ExpectColumnValuesToNotBeNull' AS expectation, 0 AS position, (SELECT count(*) FROM v_inventory WHERE inventory_id IS NULL) AS unexpected UNION ALL
+  SELECT 'ExpectColumnValuesToBeUnique', 1, (SELECT count(*) FROM (SELECT inventory_id FROM v_inventory GROUP BY 1 HAVING count(*) > 1)) UNION ALL
+  SELECT 'ExpectInventoryNonNegative', 2, (SELECT count(*) FROM v_inventory WHERE quantity < 0)
+)""",
+)
+def quality_inventory_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _suite(spark, "silver_inventory_suite", {"inventory": entity(spark, sf_dir, "inventory")})
+
+
 _RESULTS = "VALUES ('a', 'r1', 1, true, 'critical'), ('a', 'r2', 2, false, 'critical'), ('a', 'r2', 2, true, 'critical'), ('b', 'r9', 1, true, 'critical'), ('b', 'r9', 1, false, 'warning'), ('b', 'r1', 0, false, 'critical')"
 
 
@@ -310,6 +344,26 @@ def gold_migration_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.scorecard(gold_migration_summary(spark, sf_dir))
 
 
+@query("recon_statuses", _with(*TABLES) + f" SELECT table_name, reconciliation_status FROM ({_SUMMARY})")
+def recon_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.recon_statuses(gold_migration_summary(spark, sf_dir))
+
+
+@query(
+    "quality_gold_suite",
+    _with("orders", "customers", more=_STAGED + f", r AS ({_DAILY.format(where='')}), g AS ({_SEGMENTS.format(where='')})")
+    + """
+SELECT * FROM (
+  SELECT 'ExpectColumnValuesToBeUnique' AS expectation, 0 AS position, (SELECT count(*) FROM (SELECT revenue_date FROM r GROUP BY 1 HAVING count(*) > 1)) AS unexpected UNION ALL
+  SELECT 'ExpectColumnValuesToBeBetween', 1, (SELECT count(*) FROM r WHERE order_count < 1) UNION ALL
+  SELECT 'ExpectColumnValuesToBeUnique', 2, (SELECT count(*) FROM (SELECT customer_id FROM g GROUP BY 1 HAVING count(*) > 1)) UNION ALL
+  SELECT 'ExpectColumnValuesToBeBetween', 3, (SELECT count(*) FROM g WHERE lifetime_orders < 0)
+)""",
+)
+def quality_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _suite(spark, "gold_suite", {"gold_revenue_daily": gold_revenue_daily(spark, sf_dir), "gold_customer_segments": gold_customer_segments(spark, sf_dir)})
+
+
 # --- staging
 
 for _name, _sql in {

@@ -146,3 +146,19 @@ def test_upsert_by_composite_key(spark, tmp_path):
     upsert(spark, spark.createDataFrame([("a", "x", 1), ("a", None, 2)], "t string, c string, v int"), path, ["t", "c"])
     upsert(spark, spark.createDataFrame([("a", None, 3), ("b", "x", 4)], "t string, c string, v int"), path, ["t", "c"])
     assert sorted((r["t"], str(r["c"]), r["v"]) for r in VersionedTable(spark, path).read().collect()) == [("a", "None", 3), ("a", "x", 1), ("b", "x", 4)]
+
+
+def test_upsert_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    path, rows = str(tmp_path / "t"), spark.range(100).selectExpr("id AS k", "id AS v")
+    upsert(spark, rows, path, ["k"])
+    upsert(spark, spark.sql("SELECT 7 AS k, 70L AS v UNION ALL SELECT null, 1"), path, ["k"])  # an int finds the stored bigint's bucket
+    upsert(spark, spark.sql("SELECT CAST(null AS BIGINT) AS k, 2L AS v"), path, ["k"])
+    upsert(spark, rows.limit(0), path, ["k"])
+    store = VersionedTable(spark, path)
+    assert len(store.history()) == 3 and 0 in store.commit().buckets.values()
+    got = {r["k"]: r["v"] for r in store.read().collect()}
+    assert store.read().count() == 101 and got[7] == 70 and got[None] == 2 and got[8] == 8
+    with pytest.raises(SchemaMismatchError):
+        upsert(spark, rows.withColumn("w", F.lit(1)), path, ["k"])
+    with pytest.raises(ValueError):
+        upsert(spark, rows, path, ["v"])

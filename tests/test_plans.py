@@ -113,6 +113,12 @@ def test_profiles_and_catalog(spark):
 def test_percentile_picks_by_rank(spark):
     values = spark.createDataFrame([(i,) for i in (5, 1, 9, 9, 3)], "v int")
     assert {r["percent"]: r["value"] for r in serving.percentile(values, "v", [0, 50, 99, 100]).collect()} == {0: 1, 50: 5, 99: 9, 100: 9}
+    many = spark.range(20_000).selectExpr("IF(id % 3 = 0, 7, id) AS v", "IF(id % 2 = 0, null, 'g') AS g")  # a value with a third of all rows, and a null group
+    for group, odd in ((None, 0), ("g", 1)):
+        exact = sorted(7 if i % 3 == 0 else i for i in range(odd, 20_000, 2))
+        got = {r["percent"]: r["value"] for r in serving.percentile(many, "v", [5, 50, 99], ["g"]).collect() if r["g"] == group}
+        assert got == {p: exact[round(p / 100 * (len(exact) - 1))] for p in (5, 50, 99)}
+    assert serving.percentile(values.limit(0), "v", [50]).count() == 0
 
 
 def test_names_of_schemas():

@@ -65,3 +65,13 @@ def test_differences(spark):
     b = a.filter("order_id <> 4").union(a.filter("order_id = 5").withColumn("order_id", F.lit(99).cast("long")))
     assert {(r["order_id"], r["missing_in_target"]) for r in sample_diff(a, b, "order_id", COLUMNS).collect()} == {(4, True)}
     assert {(r["order_id"], r["kind"]) for r in full_diff(a, b, "order_id", COLUMNS).collect()} == {(4, "missing_in_target"), (99, "extra_in_target")}
+
+
+def test_the_target_is_cut_to_the_sample_before_any_shuffle(spark, tmp_path):
+    orders(spark, 5000).write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    diff = sample_diff(orders(spark, 5000).withColumn("status", F.lit("lost")), target, "order_id", COLUMNS, size=50)
+    assert diff.count() == 50
+    plan = diff._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin [order_id" in plan and "LeftSemi" in plan
+    assert diff.count() == sample_diff(orders(spark, 5000).withColumn("status", F.lit("lost")), target, "order_id", COLUMNS, size=50, seed=3).count()

@@ -44,7 +44,7 @@ BROADCAST_BYTES = 64_000_000
 #: Parts whose edges a task groups; each has some 25, of 100 bytes.
 PARTS = 5_000
 #: Bytes of text that a task cuts at a time.
-PIECE = 2_000_000
+PIECE = 1_000_000
 #: Spark's own seed of xxhash64.
 SEED = 42
 

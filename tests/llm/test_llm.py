@@ -586,9 +586,19 @@ def test_pipeline_by_brute_force(spark):
     toxic = {r["doc_id"] for r in queries.op5_toxicity(spark, SF).collect() if r["predicted"]}
     clean = stages["toxicity"](spark, docs, SF)
     assert clean.columns == docs.columns and {r["doc_id"] for r in clean.select("doc_id").collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()} - toxic
-    few = docs.limit(80).cache()
-    cut = stages["substring_dedup"](spark, few, SF)
-    texts = [r["text"] for r in few.orderBy("doc_id").collect()]
+    whole = docs.orderBy("doc_id").collect()
+    texts = [r["text"] for r in whole]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set() for w in (spaced(t, lower=True) for t in texts)]
+    reach = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                low, high = sorted((reach[i], reach[j]))
+                reach = [low if r == high else r for r in reach]
+    kept = [r["doc_id"] for i, r in enumerate(whole) if reach[i] == i]
+    one = stages["near_dedup"](spark, docs, SF)
+    assert one.columns == docs.columns and len(kept) < len(whole) and sorted(r["doc_id"] for r in one.select("doc_id").collect()) == kept
+    cut = stages["substring_dedup"](spark, docs, SF)
     rows = cut.orderBy("doc_id").collect()
     assert cut.columns == docs.columns and [spaced(r["text"]) for r in rows] == removed(texts) and all(r["n_chars"] == len(r["text"]) for r in rows)
     bad = {r["doc_id"] for r in queries.op8_decontamination(spark, SF).collect() if r["contaminated"]}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.llm import ann, decontaminate, html_extract, license_scan, near_dedup, packing, sentencepiece_lattice, sharding, substring_dedup, toxicity
+from moraine.llm import ann, decontaminate, hard_negatives, html_extract, license_scan, near_dedup, packing, secret_scan, sentencepiece_lattice, sharding, spelling_variants, substring_dedup, toxicity
 from moraine.llm.common import table
 
 
@@ -50,6 +50,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -62,4 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_packing": op9_packing,
         "op10_near_dedup": op10_near_dedup,
+        "op11_secret_scan": op11_secret_scan,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_spelling_variants": op13_spelling_variants,
     }

@@ -38,17 +38,17 @@ class Phrases:
 
     vocabulary: dict[bytes, int]
     by_length: dict[int, np.ndarray]
-    items: dict[int, list[list[str]]]
+    items: dict[int, list[list[str | None]]]
 
     @property
     def shortest(self) -> int:
         return min(self.by_length)
 
 
-def phrases(items: list[tuple[str, str]], window: int = WINDOW) -> Phrases:
+def phrases(items: list[tuple[str | None, str]], window: int = WINDOW) -> Phrases:
     """All distinct windows of the items; an item with fewer words is one window, one without words has none."""
     vocabulary: dict[bytes, int] = {}
-    owners: dict[tuple[int, ...], set[str]] = {}
+    owners: dict[tuple[int, ...], set[str | None]] = {}
     for item, text in items:
         symbols = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in (text or "").encode().translate(ALNUM_TABLE).split()]
         for i in range(max(1, len(symbols) - window + 1)) if symbols else ():
@@ -57,7 +57,7 @@ def phrases(items: list[tuple[str, str]], window: int = WINDOW) -> Phrases:
     for n in sorted({len(p) for p in owners}):
         rows = sorted(p for p in owners if len(p) == n)
         by_length[n] = np.array(rows, dtype=np.int64).reshape(len(rows), n)
-        names[n] = [sorted(owners[p]) for p in rows]
+        names[n] = [list(owners[p]) for p in rows]
     return Phrases(vocabulary, by_length, names)
 
 
@@ -153,7 +153,7 @@ def _occurrences(index: FMIndex, patterns: np.ndarray) -> tuple[np.ndarray, np.n
     return which, index.locate(rows)
 
 
-def scan_texts(texts: list[bytes], block: Phrases) -> Iterator[tuple[int, list[tuple[int, int]], set[str]]]:
+def scan_texts(texts: list[bytes], block: Phrases) -> Iterator[tuple[int, list[tuple[int, int]], set[str | None]]]:
     """Per text: its number of words, its merged hit spans, and the items found in it."""
     get = block.vocabulary.get
     symbols, first = [], [0]
@@ -164,7 +164,7 @@ def scan_texts(texts: list[bytes], block: Phrases) -> Iterator[tuple[int, list[t
     text = np.array(symbols, dtype=np.int64)
     n = len(text)
     spans: dict[int, list[tuple[int, int]]] = {}
-    items: dict[int, set[str]] = {}
+    items: dict[int, set[str | None]] = {}
     # Runs of benchmark words that are too short for any phrase stay out of the index, as 0s do.
     cut = np.zeros(n + 1, bool)
     cut[first] = True
@@ -204,7 +204,7 @@ def scan_texts(texts: list[bytes], block: Phrases) -> Iterator[tuple[int, list[t
 def blocks(benchmark: DataFrame, *, block: int = BLOCK, item: str = "item_id", text: str = "text", window: int = WINDOW) -> Iterator[Phrases]:
     """The benchmark in blocks of bounded size; rows are streamed through the driver, never held whole."""
     held, size = [], 0
-    for row in benchmark.select(F.col(item).cast("string"), F.col(text)).filter(F.col(text).isNotNull() & F.col(item).isNotNull()).toLocalIterator():
+    for row in benchmark.select(F.col(item).cast("string"), F.col(text)).filter(F.col(text).isNotNull()).toLocalIterator():
         held.append((row[0], row[1]))
         size += len(row[1]) // 2 + 1
         if size >= block:
@@ -221,8 +221,9 @@ def removal_spans(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id",
     """Per document: its words, the merged spans of benchmark windows, and the items they come from.
 
     Null and wordless texts have no spans. A row with a repeated or null id
-    stays a row of its own, however many blocks the benchmark has. Null items
-    and items without words are never found; an empty benchmark finds nothing.
+    stays a row of its own, however many blocks the benchmark has. Items with
+    a null id are found like others and are one item, null, which comes first;
+    items without words are never found; an empty benchmark finds nothing.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     shared = _shared(docs, benchmark, block, window)
@@ -247,7 +248,7 @@ def _found(rows: DataFrame, blocks_: list) -> DataFrame:
                 texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
                 n, spans, items = zip(*scan_texts(texts, shared.value))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array([[{"begin": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
+                    [batch.column("row"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array([[{"begin": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(x, key=lambda i: (i is not None, i)) for x in items], pa.list_(pa.string()))],
                     names=["row", "doc_id", "n_words", "spans", "items"],
                 )
 
@@ -277,7 +278,7 @@ def merge_spans(spans):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for every row (see ``removal_spans``)."""
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for every row (see ``removal_spans``). A null item counts, and has no id to join."""
     return _judged(removal_spans(docs, benchmark, **options))
 
 

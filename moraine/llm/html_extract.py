@@ -51,9 +51,11 @@ CLOSES = {
 }
 CONTAINER = frozenset("html body article section main div center table tbody tr td".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+NAMELESS = HEADING | frozenset("html body main article blockquote figure figcaption pre table".split())
 SCOPE = frozenset("ul ol dl table html body article section div main aside nav header footer form td th blockquote".split())
 NEVER = frozenset("head nav footer aside form script style textarea title noscript template iframe button select input svg dialog menu search object canvas".split())
-HINTS = frozenset("nav navbar navigation menu footer sidebar notice notices cookie cookies consent banner ad ads advert adverts advertisement advertising promo promoted sponsor sponsored comment comments discussion replies share sharing social related breadcrumb breadcrumbs popup modal newsletter subscribe signup login search pagination pager toolbar widget skip".split())
+EXCLUDED = frozenset("notice notices cookie cookies consent banner ad ads advert adverts advertisement advertising promo promoted sponsor sponsored comments newsletter subscribe popup modal".split())
+FRAME = frozenset("nav navbar navigation menu footer header sidebar breadcrumb breadcrumbs pagination pager toolbar widget skip login signup".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 MARKED = frozenset(["article", "main"])
 
@@ -87,8 +89,8 @@ def _opened(tag: str, attributes: str, marked: bool) -> Node:
                 node.drop = True
             elif name == "role":
                 node.drop |= any(n in ROLES for n in names)
-            elif name in ("class", "id") and tag not in HEADING and tag not in ("html", "body", "main", "article"):
-                node.drop |= any(n in HINTS or n == "header" and not marked for n in names)
+            elif name in ("class", "id") and tag not in NAMELESS:
+                node.drop |= bool(names) and all(n in EXCLUDED or n in FRAME and not marked for n in names)
     return node
 
 

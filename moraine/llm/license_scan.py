@@ -176,14 +176,11 @@ class Scanner:
                 if t < len(self.labels):
                     by_template.setdefault(t, []).append((begin, end))
         for t, found in sorted(by_template.items()):
-            while found:  # every chain that covers enough; the rest of the file can hold the licence again
-                covered, span = self._chain(words, t, found)
-                best = max(best, covered)
-                if covered < self.needed(t):
-                    break
+            covered, chosen = self._chains(words, t, found)
+            best = max(best, covered)
+            if chosen:
                 labels.add(self.labels[t])
-                spans.append((*span, self.labels[t]))
-                found = [(b, e) for b, e in found if e <= span[0] or b >= span[1]]
+                spans += [(*span, self.labels[t]) for span in chosen]
         return len(words), n_base, first, last, base, labels, 1.0 if base else best, spans
 
     def needed(self, t: int) -> float:
@@ -191,26 +188,35 @@ class Scanner:
         n = len(self.automaton.sequences[t])
         return max(self.share, (n - 1) / n) if n < SHORT else self.share
 
-    def _chain(self, words: list[bytes], t: int, found: list[tuple[int, int]]) -> tuple[float, tuple[int, int]]:
-        """The largest share of template ``t`` that matches cover in its own order inside twice its length, and their span."""
+    def _chains(self, words: list[bytes], t: int, found: list[tuple[int, int]]) -> tuple[float, list[tuple[int, int]]]:
+        """The largest share of template ``t`` that matches cover in its own order inside twice its length; and the spans of all chains that cover enough.
+
+        One pass finds the best chain that ends with each match (the shortest
+        of equals), looking back no further than the template allows. Chains
+        that overlap a better one, or an equal one before them, are left out.
+        """
         template = self.automaton.sequences[t]
-        pieces = []
+        size, pieces = len(template), []
         for begin, end in found:
             piece = words[begin:end]
-            for at in range(len(template) - len(piece) + 1):
+            for at in range(size - len(piece) + 1):
                 if template[at : at + len(piece)] == piece:
                     pieces.append((begin, end, at, at + len(piece)))
-        best, span, chains = 0, (0, 0), []
+        chains, ended = [], []
         for begin, end, a, b in sorted(pieces):
             total, start = b - a, begin
-            lowest = bisect_left(chains, (begin - 2 * len(template),))
-            for _, e, y, covered, s in chains[lowest:]:
-                if e <= begin and y <= a and end - s <= 2 * len(template) and covered + b - a > total:
+            for _, e, y, covered, s in chains[bisect_left(chains, (begin - 2 * size,)) :]:
+                if e <= begin and y <= a and end - s <= 2 * size and (covered + b - a, s) > (total, start):
                     total, start = covered + b - a, s
             chains.append((begin, end, b, total, start))
-            if total > best:
-                best, span = total, (start, end)
-        return best / len(template), span
+            ended.append((-total, end, start))
+        best = max((-total for total, _, _ in ended), default=0) / size
+        chosen: list[tuple[int, int]] = []
+        for total, end, start in sorted(x for x in ended if -x[0] / size >= self.needed(t)):
+            k = bisect_left(chosen, (end,))  # spans before k begin before this one's end
+            if not k or chosen[k - 1][1] <= start:
+                chosen.insert(k, (start, end))
+        return best, chosen
 
 
 def scanner(templates: dict[str, list[str]] = TEMPLATES, phrases: dict[str, str] = PHRASES, *, least: int = 3, share: float = 0.6) -> Scanner:

@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -87,20 +88,22 @@ class Pieces:
 
     def merged(self, symbols: list[str]) -> list[str]:
         """What the byte-pair rule makes of symbols: the best neighbours merge, the leftmost of equals first."""
-        s, rank = list(symbols), self.rank.get
-        ranks = [rank(a + b, _NEVER) for a, b in zip(s, s[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == _NEVER:
-                break
-            i = ranks.index(best)
-            s[i] += s.pop(i + 1)
-            ranks.pop(i)
-            if i < len(ranks):
-                ranks[i] = rank(s[i] + s[i + 1], _NEVER)
-            if i:
-                ranks[i - 1] = rank(s[i - 1] + s[i], _NEVER)
-        return s
+        s, rank, n = list(symbols), self.rank.get, len(symbols)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        waiting = [(r, i) for i in range(n - 1) if (r := rank(s[i] + s[i + 1])) is not None]
+        heapify(waiting)
+        while waiting:  # by rank and place; what has changed since it was put there is passed over
+            r, i = heappop(waiting)
+            j = after[i]
+            if s[i] is None or j == n or rank(s[i] + s[j]) != r:
+                continue
+            s[i], s[j], after[i] = s[i] + s[j], None, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (r := rank(s[k] + s[after[k]])) is not None:
+                    heappush(waiting, (r, k))
+        return [x for x in s if x is not None]
 
     def best(self, part: str) -> list[str]:
         """The path with the best sum of scores, the longest last piece of equals."""
@@ -447,10 +450,11 @@ Lexicon = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 def _packed(rows: pa.Table) -> Lexicon:
     """Parts' hashes in order, where each one's ids start and how many there are, and all ids in a row, from ``key, ids``."""
     key, ids = np.asarray(rows.column("key").combine_chunks()), rows.column("ids").combine_chunks()
+    small = np.uint16 if (pc.max(ids.flatten()).as_py() or 0) < 1 << 16 else np.int32
     size = np.asarray(pc.list_value_length(ids)).astype(np.int16)
     start = (np.cumsum(size, dtype=np.int64) - size).astype(np.uint32)
     order = np.argsort(key, kind="stable")
-    return key[order], start[order], size[order], np.asarray(ids.flatten()).astype(np.uint16)
+    return key[order], start[order], size[order], np.asarray(ids.flatten()).astype(small)
 
 
 def looked_up(found: Lexicon, table: Pieces, decoder: Decoder) -> Resolve:

@@ -447,12 +447,13 @@ def test_decontamination_rows(spark):
     bench = spark.createDataFrame([(1, "a b c d e f"), (2, None), (3, ""), (None, "one"), (4, "no such words here")], "item_id long, text string")
     docs = documents(spark)
     rows = {r["doc_id"]: r for r in decontaminate.decontaminate(docs, bench).collect()}
-    assert [d for d, r in rows.items() if r["contaminated"]] == [4, 5, 6] and rows[4]["items_sha256"] == hashlib.sha256(b"1").hexdigest()
+    assert [d for d, r in rows.items() if r["contaminated"]] == [3, 4, 5, 6] and rows[4]["items_sha256"] == hashlib.sha256(b"1").hexdigest()
     blocks = {r["doc_id"]: r for r in decontaminate.decontaminate(docs, bench, block=3).collect()}
     assert blocks == rows  # the benchmark in blocks gives the same
     clash = docs.withColumn("row", F.lit(1)).withColumn("_row", F.lit(2)).withColumn("contaminated", F.lit("x"))
     left = decontaminate.without_contaminated(clash, bench)
-    assert left.count() == len(TEXTS) - 3 and left.columns == clash.columns
+    assert (rows[3]["n_hit"], rows[3]["n_items"], rows[3]["items_sha256"]) == (1, 1, hashlib.sha256(b"").hexdigest())
+    assert left.count() == len(TEXTS) - 4 and left.columns == clash.columns
     empty = decontaminate.decontaminate(docs, bench.limit(0)).collect()
     assert {r["doc_id"]: r["n_words"] for r in empty} == {d: r["n_words"] for d, r in rows.items()} and not any(r["contaminated"] for r in empty)
     assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0

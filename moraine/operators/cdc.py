@@ -180,11 +180,17 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, key: list[str], *, b
     """Rows replace those with the same composite key; the rest stays. Used for metadata and incremental marts.
 
     Only the buckets that the rows' keys fall into are read and rewritten. The
-    rows are cast to the stored types, so that equal keys share a bucket.
+    rows are cast to the stored types, so that equal keys share a bucket. Two
+    rows of one key (nulls are equal) are refused: neither is the newer one.
     """
     store = VersionedTable(spark, path)
     if not store.exists():
-        store.write(rows, key=key, buckets=buckets, operation="upsert")
+        rows = rows.persist()
+        try:
+            _refuse_repeated(rows, key, path)
+            store.write(rows, key=key, buckets=buckets, operation="upsert")
+        finally:
+            rows.unpersist()
         return
     last, stored = store.commit(), store.read().schema
     if last.key != key:
@@ -193,6 +199,7 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, key: list[str], *, b
         raise SchemaMismatchError(path, set(rows.columns) - set(stored.names), set(stored.names) - set(rows.columns))
     rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored]).persist()
     try:
+        _refuse_repeated(rows, key, path)
         touched = sorted(r[0] for r in rows.select(bucket_of(key, last.bucket_count).alias("b")).distinct().collect())  # at most as many numbers as buckets
         if touched:
             old = store.read(buckets=touched)
@@ -201,3 +208,9 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, key: list[str], *, b
             store.write(new, key=key, buckets=touched, operation="upsert", replace=False)
     finally:
         rows.unpersist()
+
+
+def _refuse_repeated(rows: DataFrame, key: list[str], path: str) -> None:
+    several = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").first()
+    if several:
+        raise ValueError(f"{several['_n']} rows for {path} have the key {[several[k] for k in key]}")

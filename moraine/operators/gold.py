@@ -124,15 +124,17 @@ def migration_summary(tables: dict[str, DataFrame], recon: DataFrame, *, as_of:
 def refresh(spark: SparkSession, path: str, mart: str, build, key: str, mark: str) -> None:
     """An incremental mart: what changed since its last ``mark`` is rebuilt and replaces its rows by ``key``.
 
-    ``build`` takes the mark, or None for a full refresh. Rows whose inputs
-    changed before the mark are not seen; a full refresh is the truth.
+    ``build`` takes the mark, or None for a full refresh. The mark is a scalar
+    subquery in the plan that uses it, so inputs in folders by its column are
+    pruned while the plan runs; in a mart without rows it is the least value
+    of its type. Rows whose inputs changed before the mark are not seen; a
+    full refresh is the truth.
     """
     store = VersionedTable(spark, f"{path}/{mart}")
-    if not store.exists():
+    if not store.exists() or store.read().isEmpty():
         store.write(build(None), key=[key], buckets=4, operation="full")
         return
-    last = store.read().agg(F.max(mark)).first()[0]
-    upsert(spark, build(F.lit(last) if last is not None else None), f"{path}/{mart}", [key])
+    upsert(spark, build(store.read().agg(F.max(mark)).scalar()), f"{path}/{mart}", [key])
 
 
 def schema_name(custom: str | None, default: str) -> str:

@@ -11,8 +11,8 @@ from pyspark.sql.types import NumericType
 
 from moraine.functions.values import cosine
 
-#: Rows that sample values are taken from, and how many values are kept.
-SAMPLED, SHOWN = 50, 5
+#: Sample values that are kept.
+SHOWN = 5
 
 
 def profile(df: DataFrame, table: str, *, exact: bool = False, samples: bool = True) -> DataFrame:
@@ -34,28 +34,120 @@ def profile(df: DataFrame, table: str, *, exact: bool = False, samples: bool = T
             F.min(c).cast("string").alias("min_value"),
             F.max(c).cast("string").alias("max_value"),
             mean.alias("mean_value"),
+            *([samples_of(c).alias("sample_values")] if samples else []),
         )
 
     wide = df.agg(*[stats(f).alias(f"s{i}") for i, f in enumerate(df.schema)])
     rows = wide.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(df.schema))])))
     rate = F.coalesce(F.col("null_count") / F.nullif(F.col("row_count"), F.lit(0)), F.lit(0.0))
-    out = rows.select(F.lit(table).alias("table_name"), "column_name", "data_type", "row_count", "null_count", rate.alias("null_rate"), "distinct_count", "min_value", "max_value", "mean_value")
-    return out.join(F.broadcast(sample_values(df)), "column_name", "left").select(*out.columns, "sample_values") if samples else out
+    return rows.select(F.lit(table).alias("table_name"), "column_name", "data_type", "row_count", "null_count", rate.alias("null_rate"), "distinct_count", "min_value", "max_value", "mean_value", *(["sample_values"] if samples else []))
 
 
-def sample_values(df: DataFrame) -> DataFrame:
-    """``column_name, sample_values``: up to ``SHOWN`` distinct values of each column's first ``SAMPLED`` non-null rows, in encounter order.
+def samples_of(c: Column) -> Column:
+    """Up to ``SHOWN`` distinct values of a column as an aggregate: of each of ``SHOWN`` parts of the hash space the value hashed lowest.
 
-    Which rows come first is up to the scan; a sort of the table would cost more than a sample is worth.
+    A bottom-k sketch of constant size, in the order of the hashes: the same
+    values whatever the order of rows and however the table is cut.
     """
-    parts = []
-    for f in df.schema:
-        few = df.select(F.col(f.name).cast("string").alias("v")).filter("v is not null").limit(SAMPLED)
-        parts.append(few.agg(F.slice(F.array_distinct(F.collect_list("v")), 1, SHOWN).alias("sample_values")).select(F.lit(f.name).alias("column_name"), "sample_values"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    text = c.cast("string")
+    hashed = F.md5(text)
+    part = F.conv(F.substring(hashed, 32, 1), 16, 10).cast("int") % SHOWN
+    lowest = [F.min(F.when(part == k, F.struct(hashed.alias("h"), text.alias("v")))) for k in range(SHOWN)]
+    return F.transform(F.array_sort(F.array_compact(F.array(*lowest))), lambda s: s["v"])
+
+
+#: Two to this power registers in a sketch, whose standard error is 1.04 over the root of their number.
+LG_REGISTERS = 12
+SKETCHED = "table_name string, version string, column_name string, data_type string, row_count long, null_count long, sketch binary, total double, least_number decimal(38,10), most_number decimal(38,10), least_text string, most_text string"
+
+
+def sketched(df: DataFrame, table: str, version: str) -> DataFrame:
+    """One row per column with all that a profile needs, in a form that can be merged with other versions' or parts' rows.
+
+    Distinct values are held as a sketch; numbers have sums and numeric
+    extremes, other types extremes of their text.
+    """
+
+    def stats(f) -> Column:
+        c, number = F.col(f.name), isinstance(f.dataType, NumericType)
+        none = lambda kind: F.lit(None).cast(kind)
+        text = c.cast("string")
+        return F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(version).alias("version"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(c.isNull()).alias("null_count"),
+            F.hll_sketch_agg(text, F.lit(LG_REGISTERS)).alias("sketch"),
+            (F.sum(c.cast("double")) if number else none("double")).alias("total"),
+            (F.min(c).cast("decimal(38,10)") if number else none("decimal(38,10)")).alias("least_number"),
+            (F.max(c).cast("decimal(38,10)") if number else none("decimal(38,10)")).alias("most_number"),
+            (none("string") if number else F.min(text)).alias("least_text"),
+            (none("string") if number else F.max(text)).alias("most_text"),
+        )
+
+    wide = df.agg(*[stats(f).alias(f"s{i}") for i, f in enumerate(df.schema)])
+    return wide.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(df.schema))])))
+
+
+def merged_profile(rows: DataFrame) -> DataFrame:
+    """A profile of all that ``sketched`` rows cover, from those rows alone; the tables aren't read.
+
+    A column that was retyped has the type of its last version in the alphabet.
+    """
+    merged = rows.groupBy("table_name", "column_name").agg(
+        F.max_by("data_type", "version").alias("data_type"),
+        F.sum("row_count").alias("row_count"),
+        F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_count"),
+        *[f(c).alias(c) for f, c in ((F.min, "least_number"), (F.max, "most_number"), (F.min, "least_text"), (F.max, "most_text"), (F.sum, "total"))],
+    )
+    plain = lambda c: F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    filled = F.col("row_count") - F.col("null_count")
+    return merged.select(
+        "table_name",
+        "column_name",
+        "data_type",
+        "row_count",
+        "null_count",
+        F.coalesce(F.col("null_count") / F.nullif(F.col("row_count"), F.lit(0)), F.lit(0.0)).alias("null_rate"),
+        "distinct_count",
+        F.coalesce(plain(F.col("least_number")), "least_text").alias("min_value"),
+        F.coalesce(plain(F.col("most_number")), "most_text").alias("max_value"),
+        (F.col("total") / F.nullif(filled, F.lit(0))).alias("mean_value"),
+    )
+
+
+def store_sketches(df: DataFrame, table: str, version: str, path: str) -> None:
+    """Adds a version's (or a part's) sketches to those at ``path``; the same version again replaces its rows."""
+    from moraine.operators.cdc import upsert
+
+    upsert(df.sparkSession, sketched(df, table, version), path, ["table_name", "version", "column_name"])
+
+
+#: The stored profile's columns; written by ``store_profile``, read in this order of rows by ``stored_profiles``.
+PROFILE_DDL = "table_name string, column_name string, data_type string, row_count long, null_count long, null_rate double, distinct_count long, min_value string, max_value string, mean_value double, sample_values array<string>, profiled_at timestamp"
+
+
+def store_profile(profiles: DataFrame, path: str) -> None:
+    """Profiles replace those of the same table and column; the table is made with its schema where there is none."""
+    from pyspark.sql.types import StructType
+
+    from moraine.operators.cdc import upsert
+
+    stamped = profiles.withColumn("profiled_at", F.current_timestamp())
+    rows = stamped.select(*[(F.col(f.name) if f.name in stamped.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(PROFILE_DDL)])
+    upsert(profiles.sparkSession, rows, path, ["table_name", "column_name"])
+
+
+def stored_profiles(spark, path: str) -> DataFrame:
+    """All stored profiles by table and column; none, with their schema, before the first is stored."""
+    from moraine.sources.versioned import VersionedTable
+
+    store = VersionedTable(spark, path)
+    rows = store.read() if store.exists() else spark.createDataFrame([], PROFILE_DDL)
+    return rows.orderBy("table_name", "column_name")
 
 
 def catalog_documents(profiles: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 #: Parts that the values of a group are cut into for percentiles.
 PARTS = 256
@@ -47,10 +48,14 @@ def quality_details(results: DataFrame, suite: str) -> DataFrame:
     return latest_run(results.filter(F.col("suite") == suite), "suite", "validated_at").orderBy("success", "expectation")
 
 
-def drift_events(events: DataFrame) -> DataFrame:
+def drift_order() -> list[Column]:
     """Gravest first, then newest."""
     rank = F.when(F.col("severity") == "BREAKING", 0).when(F.col("severity") == "AMBIGUOUS", 1).otherwise(2)
-    return events.orderBy(rank, F.desc("detected_at"), "table_name", "column_name")
+    return [rank, F.desc("detected_at"), F.col("table_name"), F.col("column_name")]
+
+
+def drift_events(events: DataFrame) -> DataFrame:
+    return events.orderBy(*drift_order())
 
 
 def drift_by_severity(events: DataFrame) -> DataFrame:
@@ -60,15 +65,18 @@ def drift_by_severity(events: DataFrame) -> DataFrame:
 def percentile(rows: DataFrame, value: str, percents: list[int], by: list[str] | None = None) -> DataFrame:
     """Nearest-rank percentiles of numbers or times: the value at place ``round(p / 100 * (n - 1))`` of each group, halves to even.
 
-    Equal values are counted first. Approximate quantiles cut each group into
-    ``PARTS`` parts, the parts' counts tell which of them hold a wanted place,
-    and only those are put in order. No task sorts a whole group, and wherever
-    the cuts fall, the result is exact.
+    Equal values are counted first, and all else works on those counts, so the
+    rows are read once. Approximate quantiles cut each group's distinct values
+    into ``PARTS`` parts, the parts' counts tell which of them hold a wanted
+    place, and only those are put in order. No task sorts a whole group, and
+    wherever the cuts fall, the result is exact. Other types are refused.
     """
+    kind = rows.schema[value].dataType
+    if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        raise TypeError(f"percentiles are of numbers or times, and {value} is {kind.simpleString()}")
     by = by or []
-    given = rows.filter(F.col(value).isNotNull())
-    cuts = given.groupBy(*by).agg(F.percentile_approx(value, [i / PARTS for i in range(1, PARTS)]).alias("_cuts"))
-    counts = given.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    cuts = counts.groupBy(*by).agg(F.percentile_approx(value, [i / PARTS for i in range(1, PARTS)]).alias("_cuts"))
     cut = _beside(counts, cuts, by).withColumn("_part", F.size(F.filter("_cuts", lambda x: x <= F.col(value)))).drop("_cuts")
     parts = cut.groupBy(*by, "_part").agg(F.sum("_c").alias("_size"))
     w = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))  # PARTS rows a group

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -11,7 +12,10 @@ from pyspark.sql import functions as F
 
 from moraine.operators import cdc, drift, expectations, gold, reconcile, silver
 from moraine.registry import TABLES, TableSpec
+from moraine.sources.change_log import Log
 from moraine.sources.versioned import VersionedTable
+from moraine.streaming.ingest import change_log_source, decode_json, stream_table
+from moraine.streaming.lag import OffsetLedger, committed, lag
 
 #: Events behind the log's head that make ingest a bulk load.
 LAG_LIMIT = 10_000
@@ -39,15 +43,17 @@ class Run:
         self.steps.append((step, outcome))
 
 
-def retried(work: Callable[[], object], attempts: int = 3) -> object:
-    for left in reversed(range(attempts)):
+def retried(work: Callable[[], object], attempts: int = 3, wait: float = 1.0) -> object:
+    """Tries again after ``wait`` seconds, then after twice as long each time."""
+    for k in range(attempts):
         try:
             return work()
         except cdc.SchemaMismatchError:
             raise  # trying again doesn't change a schema
         except Exception:
-            if not left:
+            if k + 1 == attempts:
                 raise
+            time.sleep(wait * 2**k)
 
 
 def ingest(spark: SparkSession, paths: Paths, batches: dict[str, DataFrame], *, guard_lsn: bool = True) -> Run:
@@ -63,6 +69,38 @@ def ingest(spark: SparkSession, paths: Paths, batches: dict[str, DataFrame], *,
     return run
 
 
+def ingest_log(spark: SparkSession, paths: Paths, logs: dict[str, str], *, capped: int = LAG_LIMIT) -> Run:
+    """Brings each table up to the head of its change log, as far as it goes now.
+
+    How much waits is told by offsets before anything is read: up to
+    ``LAG_LIMIT`` messages are taken in one batch of at most ``capped``, more
+    of them as a bulk run without a cap. What the stream commits goes to the
+    ledger that the next run's lag is measured from.
+    """
+    run, ledger, kept = Run(), OffsetLedger(), paths.of("meta", "ingest_offsets")
+    for name, log in logs.items():
+        stream = f"cdc_{name}"
+        waiting = sum(lag(log, committed(spark, kept, stream)).values())
+        bulk = waiting > LAG_LIMIT
+        run.note(f"{name}: lag", {"messages": waiting, "mode": "bulk" if bulk else "normal"})
+        done: list[cdc.MergeMetrics] = []
+
+        def merge(n: str = name, path: str = log, most: int | None = None if bulk else capped, out: list = done) -> None:
+            source = decode_json(change_log_source(spark, path, max_offsets=most), TABLES[n].schema)
+            query = stream_table(spark, TABLES[n], source, target_path=paths.of("bronze", n), checkpoint_path=paths.of("meta", f"checkpoints/{n}"), available_now=True, guard_lsn=True, on_batch=lambda _, m: out.append(m))
+            query.awaitTermination()
+            for p in query.recentProgress:
+                ledger.note(f"cdc_{n}", 0, p.sources[0].endOffset)
+
+        if waiting:
+            retried(merge)
+            ledger.store(spark, kept)
+        run.note(f"{name}: merge", done)
+        if not VersionedTable(spark, paths.of("bronze", name)).exists():
+            raise GateFailed(f"bronze {name} is empty")
+    return run
+
+
 def promote(spark: SparkSession, paths: Paths, tables: list[str], *, suites: list[str] | None = None, as_of: Column | None = None, baseline: str | None = None) -> Run:
     """Bronze to Silver, then the drift gate, then the suites; breaking drift or a failed suite stops the run."""
     run = Run()
@@ -111,11 +149,12 @@ def reconcile_all(spark: SparkSession, paths: Paths, sources: dict[str, DataFram
     for name, source in sources.items():
         r = reconcile.reconciled(source, VersionedTable(spark, paths.of(layer, name)).read(), TABLES[name])
         rows = r if rows is None else rows.unionByName(r)
-    now = rows.withColumns({"run_id": F.lit(uuid.uuid4().hex[:12]), "reconciled_at": F.current_timestamp()})
-    now.withColumn("discrepancies", F.to_json("discrepancies")).write.mode("append").parquet(paths.of("meta", "reconciliation_history"))
-    history = spark.read.option("mergeSchema", "true").parquet(paths.of("meta", "reconciliation_history"))
-    newest = history.groupBy("table_name").agg(F.max_by(F.struct("*"), "reconciled_at").alias("r")).select("r.*")
-    recon = newest.select("table_name", F.col("source_count").alias("source_rows"), "count_match", "checksum_match", "sample_mismatches", F.col("status").alias("reconciliation_status"), F.lit("v1").alias("schema_version"), "reconciled_at")
+    run_id = uuid.uuid4().hex[:12]
+    now = rows.withColumns({"run_id": F.lit(run_id), "reconciled_at": F.current_timestamp()})
+    # A folder a run: what was just computed is read back without the history before it.
+    written = paths.of("meta", f"reconciliation_history/run={run_id}")
+    now.withColumn("discrepancies", F.to_json("discrepancies")).write.parquet(written)
+    recon = spark.read.parquet(written).select("table_name", F.col("source_count").alias("source_rows"), "count_match", "checksum_match", "sample_mismatches", F.col("status").alias("reconciliation_status"), F.lit("v1").alias("schema_version"), "reconciled_at")
     cdc.upsert(spark, recon, paths.of("meta", "migration_metadata"), ["table_name"], buckets=1)
     return gold.migration_summary({t: VersionedTable(spark, paths.of(layer, t)).read() for t in sources}, VersionedTable(spark, paths.of("meta", "migration_metadata")).read())
 

@@ -174,10 +174,10 @@ def _silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _row_expectation(name: str, table: str, make: Callable[[], expectations.RowExpectation], sql: str) -> None:
-    column = make().counts
+    column = expectations.UNEXPECTED
 
     def run(spark: SparkSession, d: DataFrame) -> DataFrame:
-        return silver.clean(table, entity(spark, d, table)).agg(F.count_if(F.coalesce(make().bad(), F.lit(False))).alias(column), F.count(F.lit(1)).alias("row_count"))
+        return silver.clean(table, entity(spark, d, table)).agg(F.count_if(make().bad()).alias(column), F.count(F.lit(1)).alias("row_count"))
 
     query(name, _with(table, more=f", c AS ({_CLEAN[table]})") + f" SELECT count(*) FILTER ({sql}) AS {column}, count(*) AS row_count FROM c")(run)
 
@@ -204,14 +204,14 @@ def expect_no_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SUITE_SQL = _with("orders", "customers", "products", more=f", c AS ({_CLEAN['orders']})") + """
 SELECT * FROM (
-  SELECT 'ExpectColumnValuesToNotBeNull' AS expectation, 0 AS position, (SELECT count(*) FROM c WHERE order_id IS NULL) AS unexpected UNION ALL
-  SELECT 'ExpectColumnValuesToBeUnique', 1, (SELECT count(*) FROM (SELECT order_id FROM c GROUP BY 1 HAVING count(*) > 1)) UNION ALL
-  SELECT 'ExpectColumnValuesToBeInSet', 2, (SELECT count(*) FROM c WHERE status NOT IN ('pending', 'confirmed', 'shipped', 'delivered', 'cancelled')) UNION ALL
-  SELECT 'ExpectColumnValuesToBeInSet', 3, (SELECT count(*) FROM c WHERE channel NOT IN ('web', 'mobile', 'retail', 'partner')) UNION ALL
-  SELECT 'ExpectColumnValuesToBeBetween', 4, (SELECT count(*) FROM c WHERE quantity < 1) UNION ALL
-  SELECT 'ExpectColumnValuesToBeBetween', 5, (SELECT count(*) FROM c WHERE unit_price < 0) UNION ALL
-  SELECT 'ExpectOrderAmountsToMatchLineItems', 6, (SELECT count(*) FROM c WHERE abs(total_amount - round(quantity * unit_price, 2)) > 0.01) UNION ALL
-  SELECT 'ExpectNoOrphanedOrders', 7, (SELECT count(*) FROM c ANTI JOIN v_customers USING (customer_id)) + (SELECT count(*) FROM c ANTI JOIN v_products USING (product_id))
+  SELECT 'orders' AS table_name, 'ExpectColumnValuesToNotBeNull(order_id)' AS expectation, 0 AS position, (SELECT count(*) FROM c WHERE order_id IS NULL) AS unexpected UNION ALL
+  SELECT 'orders', 'ExpectColumnValuesToBeUnique(order_id)', 1, (SELECT count(*) FROM (SELECT order_id FROM c GROUP BY 1 HAVING count(*) > 1)) UNION ALL
+  SELECT 'orders', 'ExpectColumnValuesToBeInSet(status)', 2, (SELECT count(*) FROM c WHERE status NOT IN ('pending', 'confirmed', 'shipped', 'delivered', 'cancelled')) UNION ALL
+  SELECT 'orders', 'ExpectColumnValuesToBeInSet(channel)', 3, (SELECT count(*) FROM c WHERE channel NOT IN ('web', 'mobile', 'retail', 'partner')) UNION ALL
+  SELECT 'orders', 'ExpectColumnValuesToBeBetween(quantity)', 4, (SELECT count(*) FROM c WHERE quantity < 1) UNION ALL
+  SELECT 'orders', 'ExpectColumnValuesToBeBetween(unit_price)', 5, (SELECT count(*) FROM c WHERE unit_price < 0) UNION ALL
+  SELECT 'orders', 'ExpectOrderAmountsToMatchLineItems', 6, (SELECT count(*) FROM c WHERE abs(total_amount - round(quantity * unit_price, 2)) > 0.01) UNION ALL
+  SELECT 'orders', 'ExpectNoOrphanedOrders', 7, (SELECT count(*) FROM c ANTI JOIN v_customers USING (customer_id)) + (SELECT count(*) FROM c ANTI JOIN v_products USING (product_id))
 )"""
 
 
@@ -223,8 +223,8 @@ def quality_orders_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _suite(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
     """A whole suite: row-wise checks fused, the others on their own. One small row per expectation comes back."""
     checks, _ = expectations.SUITES[name]
-    rows = [(r.expectation, i, sum(r.observed.values())) for i, r in enumerate(expectations.validate(expectations.ValidationContext(tables), checks))]
-    return spark.createDataFrame(rows, "expectation string, position int, unexpected long")
+    rows = [(r.table, r.expectation, i, r.unexpected) for i, r in enumerate(expectations.validate(expectations.ValidationContext(tables), checks))]
+    return spark.createDataFrame(rows, "table_name string, expectation string, position int, unexpected long")
 
 
 @query(
@@ -232,38 +232,58 @@ def _suite(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> Data
     _with("customers", more=f", c AS ({_CLEAN['customers']})")
     + """
 SELECT * FROM (
-  SELECT 'ExpectColumnValuesToNotBeNull' AS expectation, 0 AS position, (SELECT count(*) FROM c WHERE customer_id IS NULL) AS unexpected UNION ALL
-  SELECT 'ExpectColumnValuesToBeUnique', 1, (SELECT count(*) FROM (SELECT customer_id FROM c GROUP BY 1 HAVING count(*) > 1)) UNION ALL
-  SELECT 'ExpectColumnValuesToNotBeNull', 2, (SELECT count(*) FROM c WHERE email IS NULL) UNION ALL
-  SELECT 'ExpectColumnValuesToBeInSet', 3, (SELECT count(*) FROM c WHERE segment NOT IN ('consumer', 'smb', 'enterprise')) UNION ALL
-  SELECT 'ExpectColumnValuesToBeInSet', 4, (SELECT count(*) FROM c WHERE region NOT IN ('NA', 'EMEA', 'APAC', 'LATAM')) UNION ALL
-  SELECT 'ExpectTimestampMonotonicity', 5, (SELECT count(*) FROM c WHERE updated_at < created_at)
+  SELECT 'customers' AS table_name, 'ExpectColumnValuesToNotBeNull(customer_id)' AS expectation, 0 AS position, (SELECT count(*) FROM c WHERE customer_id IS NULL) AS unexpected UNION ALL
+  SELECT 'customers', 'ExpectColumnValuesToBeUnique(customer_id)', 1, (SELECT count(*) FROM (SELECT customer_id FROM c GROUP BY 1 HAVING count(*) > 1)) UNION ALL
+  SELECT 'customers', 'ExpectColumnValuesToNotBeNull(email)', 2, (SELECT count(*) FROM c WHERE email IS NULL) UNION ALL
+  SELECT 'customers', 'ExpectColumnValuesToBeInSet(segment)', 3, (SELECT count(*) FROM c WHERE segment NOT IN ('consumer', 'smb', 'enterprise')) UNION ALL
+  SELECT 'customers', 'ExpectColumnValuesToBeInSet(region)', 4, (SELECT count(*) FROM c WHERE region NOT IN ('NA', 'EMEA', 'APAC', 'LATAM')) UNION ALL
+  SELECT 'customers', 'ExpectTimestampMonotonicity(customers)', 5, (SELECT count(*) FROM c WHERE updated_at < created_at)
 )""",
 )
 def quality_customers_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _suite(spark, "silver_customers_suite", {"customers": silver.clean("customers", entity(spark, sf_dir, "customers"))})
 
 
-@query(
-    "quality_inventory_suite",
+_INVENTORY_SUITE = (
     _with("inventory")
     + """
 SELECT * FROM (
-  SELECT 'ExpectColumnValuesToNotBeNull' AS expectation, 0 AS position, (SELECT count(*) FROM v_inventory WHERE inventory_id IS NULL) AS unexpected UNION ALL
-  SELECT 'ExpectColumnValuesToBeUnique', 1, (SELECT count(*) FROM (SELECT inventory_id FROM v_inventory GROUP BY 1 HAVING count(*) > 1)) UNION ALL
-  SELECT 'ExpectInventoryNonNegative', 2, (SELECT count(*) FROM v_inventory WHERE quantity < 0)
-)""",
+  SELECT 'inventory' AS table_name, 'ExpectColumnValuesToNotBeNull(inventory_id)' AS expectation, 0 AS position, (SELECT count(*) FROM v_inventory WHERE inventory_id IS NULL) AS unexpected UNION ALL
+  SELECT 'inventory', 'ExpectColumnValuesToBeUnique(inventory_id)', 1, (SELECT count(*) FROM (SELECT inventory_id FROM v_inventory GROUP BY 1 HAVING count(*) > 1)) UNION ALL
+  SELECT 'inventory', 'ExpectInventoryNonNegative', 2, (SELECT count(*) FROM v_inventory WHERE quantity < 0)
+)"""
 )
+
+
+@query("quality_inventory_suite", _INVENTORY_SUITE)
 def quality_inventory_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _suite(spark, "silver_inventory_suite", {"inventory": entity(spark, sf_dir, "inventory")})
 
 
-_RESULTS = "VALUES ('a', 'r1', 1, true, 'critical'), ('a', 'r2', 2, false, 'critical'), ('a', 'r2', 2, true, 'critical'), ('b', 'r9', 1, true, 'critical'), ('b', 'r9', 1, false, 'warning'), ('b', 'r1', 0, false, 'critical')"
+_OLD_ORDERS = "1995-01-01"
 
 
-@query("quality_latest_run", f"WITH r(suite, run_id, t, success, severity) AS ({_RESULTS}), l AS (SELECT suite, arg_max(run_id, t) AS run_id FROM r GROUP BY suite) SELECT suite, run_id, count(*) FILTER (success) AS passed, count(*) AS total, bool_and(success OR severity <> 'critical') AS success FROM r JOIN l USING (suite, run_id) GROUP BY suite, run_id")
+@query(
+    "quality_latest_run",
+    f"""WITH o AS ({_SUITE_SQL}), i AS ({_INVENTORY_SUITE})
+SELECT suite, run_id, count(*) FILTER (unexpected = 0) AS passed, count(*) AS total, bool_and(unexpected = 0) AS success
+FROM (SELECT 'silver_orders_suite' AS suite, 'second' AS run_id, unexpected FROM o UNION ALL SELECT 'silver_inventory_suite', 'only', unexpected FROM i) GROUP BY ALL""",
+)
 def quality_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.quality(spark.sql(f"SELECT col1 AS suite, col2 AS run_id, col3 AS validated_at, col4 AS success, col5 AS severity FROM {_RESULTS}"))
+    """Two runs over the orders, the first when only those before 1995 were there, and one over the inventory: the newest of each suite."""
+    orders = _silver_orders(spark, sf_dir)
+    parents = {t: entity(spark, sf_dir, t) for t in ("customers", "products")}
+    runs = [
+        ("silver_orders_suite", "first", 1, {"orders": orders.filter(F.col("created_at") < F.lit(_OLD_ORDERS).cast("timestamp_ntz")), **parents}),
+        ("silver_orders_suite", "second", 2, {"orders": orders, **parents}),
+        ("silver_inventory_suite", "only", 1, {"inventory": entity(spark, sf_dir, "inventory")}),
+    ]
+    out = None
+    for suite, run_id, at, tables in runs:
+        found = expectations.SuiteResult(suite, run_id, expectations.validate(expectations.ValidationContext(tables), expectations.SUITES[suite][0]))
+        rows = expectations.results_frame(spark, found, F.timestamp_seconds(F.lit(at)))
+        out = rows if out is None else out.unionByName(rows)
+    return serving.quality(out)
 
 
 @query("latest_event_per_user", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
@@ -354,10 +374,10 @@ def recon_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     _with("orders", "customers", more=_STAGED + f", r AS ({_DAILY.format(where='')}), g AS ({_SEGMENTS.format(where='')})")
     + """
 SELECT * FROM (
-  SELECT 'ExpectColumnValuesToBeUnique' AS expectation, 0 AS position, (SELECT count(*) FROM (SELECT revenue_date FROM r GROUP BY 1 HAVING count(*) > 1)) AS unexpected UNION ALL
-  SELECT 'ExpectColumnValuesToBeBetween', 1, (SELECT count(*) FROM r WHERE order_count < 1) UNION ALL
-  SELECT 'ExpectColumnValuesToBeUnique', 2, (SELECT count(*) FROM (SELECT customer_id FROM g GROUP BY 1 HAVING count(*) > 1)) UNION ALL
-  SELECT 'ExpectColumnValuesToBeBetween', 3, (SELECT count(*) FROM g WHERE lifetime_orders < 0)
+  SELECT 'gold_revenue_daily' AS table_name, 'ExpectColumnValuesToBeUnique(revenue_date)' AS expectation, 0 AS position, (SELECT count(*) FROM (SELECT revenue_date FROM r GROUP BY 1 HAVING count(*) > 1)) AS unexpected UNION ALL
+  SELECT 'gold_revenue_daily', 'ExpectColumnValuesToBeBetween(order_count)', 1, (SELECT count(*) FROM r WHERE order_count < 1) UNION ALL
+  SELECT 'gold_customer_segments', 'ExpectColumnValuesToBeUnique(customer_id)', 2, (SELECT count(*) FROM (SELECT customer_id FROM g GROUP BY 1 HAVING count(*) > 1)) UNION ALL
+  SELECT 'gold_customer_segments', 'ExpectColumnValuesToBeBetween(lifetime_orders)', 3, (SELECT count(*) FROM g WHERE lifetime_orders < 0)
 )""",
 )
 def quality_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,14 +481,35 @@ def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.profile(entity(spark, sf_dir, "shipments").select(*_PROFILED), "shipments", exact=True, samples=False)
 
 
-@query("profile_approximate")
+def _samples_sql(c: str) -> str:
+    """The five parts of the hash space and the value hashed lowest in each."""
+    return f"(SELECT string_agg(v, ',' ORDER BY h) FROM (SELECT md5({c}::VARCHAR) AS h, {c}::VARCHAR AS v FROM p WHERE {c} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY ('0x' || h[32])::INT % 5 ORDER BY h) = 1))"
+
+
+#: The entities' columns as they come: ``is_active`` is text before it is cleaned.
+_COLUMNS = {t: {f.split()[0]: f.split()[1] for f in TABLES[t].ddl.replace("is_active boolean", "is_active string").split(", ")} for t in TABLES}
+_NUMBERS = ("int", "bigint", "decimal(12,2)")
+
+
+def _whole_profile_sql(table: str) -> str:
+    parts = []
+    for c, kind in _COLUMNS[table].items():
+        mean = f"round(avg({c}::DOUBLE), 6)" if kind in _NUMBERS else "NULL::DOUBLE"
+        parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{kind}' AS data_type, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS null_count, count(*) FILTER ({c} IS NULL) / count(*) AS null_rate, true AS distinct_close, min({c})::VARCHAR AS min_value, max({c})::VARCHAR AS max_value, {mean} AS mean_value, coalesce({_samples_sql(c)}, '') AS sample_values FROM p")
+    return f"SELECT * FROM (WITH p AS MATERIALIZED (SELECT * FROM v_{table}) {' UNION ALL '.join(parts)})"
+
+
+@query("profile_approximate", _with(*TABLES) + " " + " UNION ALL ".join(_whole_profile_sql(t) for t in TABLES))
 def profile_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As the profiler runs it: approximate distinct counts, sample values; for every entity."""
+    """As the profiler runs it, for every entity: sample values, and approximate distinct counts, told as whether they are within three standard errors."""
     out = None
     for t in TABLES:
-        p = profile.profile(entity(spark, sf_dir, t), t)
+        df = entity(spark, sf_dir, t)
+        exact = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).select(F.explode(F.create_map(*[x for c in df.columns for x in (F.lit(c), F.col(c))])).alias("column_name", "exact"))
+        p = profile.profile(df, t).join(F.broadcast(exact), "column_name")
         out = p if out is None else out.unionByName(p)
-    return out.withColumn("sample_values", F.array_join("sample_values", ","))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= 3 * 0.05 * F.col("exact") + 1
+    return out.withColumns({"distinct_close": close, "mean_value": F.round("mean_value", 6), "sample_values": F.array_join("sample_values", ",")}).drop("distinct_count", "exact")
 
 
 _DOCUMENTS = """SELECT row_number() OVER (ORDER BY kind, table_name, column_name NULLS LAST) - 1 AS doc_id, * FROM (
@@ -510,30 +551,59 @@ def lag_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.lag(star(spark, sf_dir, "events").selectExpr("CAST(event_id % 1000 + user_id AS BIGINT) AS lag_ms"), "lag_ms")
 
 
-#: Two schemas: column, spelling, and family, rank and scale of the spelling.
-_OLD = [("order_id", "bigint", "INTEGER", 64, 0), ("quantity", "int", "INTEGER", 32, 0), ("discount", "decimal(5,2)", "DECIMAL", 5, 2), ("status", "string", "STRING", 10**9, 0), ("amount", "int", "INTEGER", 32, 0), ("price", "decimal(12,2)", "DECIMAL", 12, 2), ("note", "text", "STRING", 10**9, 0)]
-_NEW = [("order_id", "bigint", "INTEGER", 64, 0), ("quantity", "bigint", "INTEGER", 64, 0), ("discount_code", "decimal(5,2)", "DECIMAL", 5, 2), ("amount", "string", "STRING", 10**9, 0), ("price", "numeric(14,1)", "DECIMAL", 14, 1), ("note", "varchar(20)", "STRING", 20, 0), ("loyalty", "smallint", "INTEGER", 16, 0)]
-# The rules of drift over the two schemas. A name that begins with another has 2 * len(short) / (both lengths) in common with it.
-_DRIFT = f"""WITH o AS (SELECT * FROM (VALUES {", ".join(map(str, _OLD))}) t(c, s, f, r, d)), n AS (SELECT * FROM (VALUES {", ".join(map(str, _NEW))}) t(c, s, f, r, d)),
+#: A table as it was and as it is: keys and counts retyped, one column renamed, one gone, one new.
+_ALTERED = {
+    "l_orderkey": "l_orderkey", "l_partkey": "CAST(l_partkey AS INT)", "l_suppkey": "CAST(l_suppkey AS SMALLINT)", "l_linenumber": "CAST(l_linenumber AS BIGINT)", "l_quantity": "CAST(l_quantity AS INT)",
+    "l_extendedprice": "CAST(l_extendedprice AS DECIMAL(14,1))", "discount_rate": "l_discount", "l_returnflag": "l_returnflag", "l_linestatus": "l_linestatus", "l_shipdate": "l_shipdate", "l_channel": "l_returnflag",
+}
+_NARROW = "CAST(l_extendedprice AS DECIMAL(12,2)) AS l_extendedprice"
+_KINDS = [("BIGINT", "bigint", "INTEGER", 64, 0), ("INTEGER", "int", "INTEGER", 32, 0), ("SMALLINT", "smallint", "INTEGER", 16, 0), ("DOUBLE", "double", "FLOAT", 64, 0), ("VARCHAR", "string", "STRING", 10**9, 0), ("TIMESTAMP", "timestamp_ntz", "TIMESTAMP", 0, 0), ("DECIMAL(12,2)", "decimal(12,2)", "DECIMAL", 12, 2), ("DECIMAL(14,1)", "decimal(14,1)", "DECIMAL", 14, 1)]
+# The rules of drift over both schemas as DuckDB describes them. Names are compared by their longest common part, which is all that these pairs have in common.
+_DRIFT = f"""WITH k AS (SELECT * FROM (VALUES {", ".join(map(str, _KINDS))}) t(kind, s, f, r, d)),
+o AS (SELECT column_name AS c, k.* FROM (DESCRIBE SELECT * REPLACE ({_NARROW}) FROM lineitem) JOIN k ON kind = column_type),
+n AS (SELECT column_name AS c, k.* FROM (DESCRIBE SELECT {", ".join(f"{e} AS {c}" for c, e in _ALTERED.items())} FROM lineitem) JOIN k ON kind = column_type),
 came AS (SELECT * FROM n WHERE c NOT IN (SELECT c FROM o)), went AS (SELECT * FROM o WHERE c NOT IN (SELECT c FROM n)),
-pairs AS (SELECT came.c, went.c AS was, went.s AS from_type, came.s AS to_type FROM came JOIN went USING (f, r, d) WHERE starts_with(came.c, went.c) AND 2.0 * length(went.c) / (length(went.c) + length(came.c)) >= 0.6),
+alike AS (SELECT came.c, went.c AS was, went.s AS from_type, came.s AS to_type, max(b - a + 1) AS longest
+  FROM came JOIN went USING (f, r, d), UNNEST(range(1, 20)) AS x(a), UNNEST(range(1, 20)) AS y(b) WHERE b >= a AND b <= length(went.c) AND contains(came.c, went.c[a:b]) GROUP BY ALL),
+pairs AS (SELECT c, was, from_type, to_type FROM alike WHERE 2.0 * longest / (length(c) + length(was)) >= 0.6),
 changes AS (
   SELECT n.c, CASE WHEN n.f <> o.f THEN 'TYPE_CHANGED' WHEN n.r >= o.r AND n.d >= o.d THEN 'TYPE_WIDENED' ELSE 'TYPE_NARROWED' END AS t, o.s AS from_type, n.s AS to_type, NULL AS was FROM n JOIN o USING (c) WHERE (n.f, n.r, n.d) <> (o.f, o.r, o.d)
   UNION ALL SELECT c, 'RENAMED', from_type, to_type, was FROM pairs
   UNION ALL SELECT c, 'ADDED', NULL, s, NULL FROM came WHERE c NOT IN (SELECT c FROM pairs)
   UNION ALL SELECT c, 'DROPPED', s, NULL, NULL FROM went WHERE c NOT IN (SELECT was FROM pairs)),
 graded AS (SELECT *, CASE WHEN t IN ('ADDED', 'TYPE_WIDENED') THEN 'NON_BREAKING' WHEN t = 'RENAMED' THEN 'AMBIGUOUS' ELSE 'BREAKING' END AS g FROM changes)
-SELECT 'orders' AS table_name, c AS column_name, t AS change_type, g AS severity, (SELECT CASE WHEN bool_or(g = 'BREAKING') THEN 'halt' WHEN bool_or(g = 'AMBIGUOUS') THEN 'review' WHEN count(*) > 0 THEN 'auto_evolve' ELSE 'none' END FROM graded) AS action,
+SELECT 'lineitem' AS table_name, c AS column_name, t AS change_type, g AS severity, (SELECT CASE WHEN bool_or(g = 'BREAKING') THEN 'halt' WHEN bool_or(g = 'AMBIGUOUS') THEN 'review' WHEN count(*) > 0 THEN 'auto_evolve' ELSE 'none' END FROM graded) AS action,
   from_type, to_type, was AS renamed_from, row_number() OVER (ORDER BY g <> 'BREAKING', c) AS place FROM graded"""
 
 
+def _drifted(spark: SparkSession, sf_dir: str) -> drift.DriftReport:
+    was = star(spark, sf_dir, "lineitem").withColumn("l_extendedprice", F.col("l_extendedprice").cast("decimal(12,2)"))
+    now = star(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in _ALTERED.items()])
+    return drift.classify_drift(drift.schema_of(now), drift.schema_of(was), "lineitem")
+
+
 @query("drift_report", _DRIFT)
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = drift.classify_drift({r[0]: r[1] for r in _NEW}, {r[0]: r[1] for r in _OLD}, "orders")
+    """What changed between a table and its altered copy, by their schemas."""
+    report = _drifted(spark, sf_dir)
     place = F.create_map(*[F.lit(x) for k, c in enumerate(report.changes, 1) for x in (c.column, k)])
     return drift.report_frame(spark, report).drop("detail", "detected_at").withColumn("place", place[F.col("column_name")].cast("long"))
 
 
+@query("drift_by_severity", f"SELECT severity, count(*) AS events FROM ({_DRIFT}) GROUP BY severity")
+def drift_by_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.drift_by_severity(drift.report_frame(spark, _drifted(spark, sf_dir)))
+
+
+@query("drift_events_ranked", f"SELECT column_name, severity, row_number() OVER (ORDER BY CASE severity WHEN 'BREAKING' THEN 0 WHEN 'AMBIGUOUS' THEN 1 ELSE 2 END, column_name) AS place FROM ({_DRIFT})")
+def drift_events_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drift page's order: gravest first, the newest (here all alike) next."""
+    from pyspark.sql import Window as W
+
+    events = drift.report_frame(spark, _drifted(spark, sf_dir)).withColumn("detected_at", F.timestamp_seconds(F.lit(0)))
+    return events.select("column_name", "severity", F.row_number().over(W.orderBy(*serving.drift_order())).cast("long").alias("place"))  # a row a change
+
+
 @query("epoch_of_text", "SELECT event_id, epoch(ts) AS seconds FROM events")
 def epoch_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times written as ISO text and read back as seconds."""

@@ -1,7 +1,7 @@
 """A versioned Parquet table: hash buckets of rows, and a commit record for each version.
 
 A version rewrites only the buckets it touches; its record says which version
-each bucket's files are from. Records are made with an exclusive create, so a
+each bucket's files are from. A record is written aside and then renamed, so a
 version exists whole or not at all, and a reader that has resolved a version
 is not disturbed by a later one. One writer at a time is assumed.
 """
@@ -9,6 +9,7 @@ is not disturbed by a later one. One writer at a time is assumed.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,8 +46,9 @@ class VersionedTable:
         fs, p = self._fs(f"{self.path}/_commits")
         if not fs.exists(p):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+        found = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(p)]
+        # Empty records are what older writers left when they were lost halfway.
+        return sorted(int(n[:-5]) for n, size in found if n.endswith(".json") and n[:-5].isdigit() and size)
 
     def exists(self) -> bool:
         return bool(self._versions())
@@ -64,9 +66,15 @@ class VersionedTable:
 
     def _record(self, commit: Commit) -> None:
         fs, p = self._fs(f"{self.path}/_commits/{commit.version:09d}.json")
-        out = fs.create(p, False)
+        _, aside = self._fs(f"{self.path}/_commits/_{commit.version:09d}-{uuid.uuid4().hex}")
+        out = fs.create(aside, False)
         out.write(bytearray(json.dumps(commit.__dict__, sort_keys=True).encode()))
         out.close()
+        if fs.exists(p) and fs.getFileStatus(p).getLen() == 0:
+            fs.delete(p, False)
+        if fs.exists(p) or not fs.rename(aside, p):  # local file systems would rename over a record
+            fs.delete(aside, False)
+            raise FileExistsError(f"{self.path} has a version {commit.version} already")
 
     def read(self, version: int | None = None, buckets: list[int] | None = None, hidden: bool = False) -> DataFrame:
         """A version's rows; ``buckets`` reads some of its buckets only, ``hidden`` keeps deleted rows and their marks."""

@@ -55,6 +55,17 @@ def kafka_source(spark: SparkSession, table: TableSpec, servers: str, *, startin
     return reader.load()
 
 
+def change_log_source(spark: SparkSession, path: str, *, starting_offsets: str = "earliest", max_offsets: int | None = None) -> DataFrame:
+    """Raw messages of a change log (``sources.change_log``) as they are appended."""
+    from moraine.sources.change_log import FORMAT, ChangeLog
+
+    spark.dataSource.register(ChangeLog)
+    reader = spark.readStream.format(FORMAT).option("path", path).option("startingOffsets", starting_offsets)
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return reader.load()
+
+
 def stream_table(
     spark: SparkSession,
     table: TableSpec,
@@ -85,12 +96,19 @@ def stream_table(
     return writer.trigger(**({"availableNow": True} if available_now else {"processingTime": interval})).start()
 
 
+PROGRESS_DDL = "name string, batch long, rows long, end_offsets array<string>"
+
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the last progress of each stream: rows, rate and how far it has read."""
 
     def __init__(self, keep: int = 100):
         self.keep, self.rows = keep, []
 
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """What is kept, as rows for the progress page."""
+        return spark.createDataFrame([(r["name"], r["batch"], r["rows"], [str(o) for o in r["end_offsets"]]) for r in self.rows], PROGRESS_DDL)
+
     def onQueryStarted(self, event) -> None: ...
 
     def onQueryProgress(self, event) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from moraine.operators import gold, profile, serving
 from moraine.plans import queries as Q
+from moraine.plans import stateful  # noqa: F401  registers its queries
 from moraine.plans.pipeline import GateFailed, Paths, backfill, build_gold, ingest, promote, reconcile_all
 from moraine.registry import TABLES, TableSpec
 from moraine.sources.connectors import load_table

@@ -6,15 +6,19 @@ place). One edit destroys at most two of a word's bigrams and makes at most
 two, and those that survive keep their order. So the first survivor is among
 the first three of both words: the prefixes of near words always meet.
 
-The edit also says where: a replaced letter keeps the length and every place,
-an inserted one adds one to the length and none or one to the place. Words
-meet by an equi-join on (bigram, place, length), and Levenshtein's distance
-decides. Everything is DataFrame expressions.
+The edit also says where: it stands on one side of that bigram, and in one half
+of what is there, so all else is equal. A replaced letter keeps the length and
+every place, an inserted one adds one to the length and none or one to the
+place. Words meet by an equi-join on the bigram, its place, the length and what
+must be equal then, and Levenshtein's distance decides at once, before anything
+is shuffled again. Joined by bigram, place and length alone, 282,392 words have
+393 million candidates. Everything is
+DataFrame expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moraine.llm.common import written
@@ -44,7 +48,7 @@ def vocabulary(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shor
 
 
 def prefixes(words: DataFrame) -> DataFrame:
-    """``word, n, len, gram, pos``: each word's three rarest bigrams (``gram`` is the rank in the common order) and their places.
+    """``word, len, pos``: the places (from 0) of each word's three rarest bigrams.
 
     ``words`` has an ``id`` for each word, which stands for it while its
     bigrams are apart. Bigrams over the letters of runs are at most 90 x 90,
@@ -55,23 +59,51 @@ def prefixes(words: DataFrame) -> DataFrame:
     counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("places"))
     order = counts.agg(F.sort_array(F.collect_list(F.struct("places", "gram"))).alias("all")).select(F.posexplode("all").alias("rank", "one")).select("rank", F.col("one.gram").alias("gram"))
     ranked = grams.join(F.broadcast(order), "gram").groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("rank", "pos"))), 1, PREFIX).alias("first"))
-    placed = words.join(ranked, "id").select("word", "n", F.length("word").alias("len"), F.explode("first").alias("at"))
-    return placed.select("word", "n", "len", F.col("at.rank").alias("gram"), F.col("at.pos").alias("pos"))
+    return words.join(ranked, "id").select("word", F.length("word").alias("len"), F.explode("first.pos").alias("pos"))
+
+
+def _cut(a: Column | int, b: Column | None = None) -> Column:
+    """Letters ``a`` to ``b`` of the word."""
+    a = F.lit(a) if isinstance(a, int) else a
+    return F.substring("word", a + 1, (F.col("len") if b is None else b) - a)
+
+
+def _keys(longer: bool) -> Column:
+    """What must be equal in a near word, hashed, for each place the edit can have: left or right of the bigram, near it or far.
+
+    ``longer``: as the word that has one letter more. Named after the place and
+    the length in the shorter word, whose part next to the bigram is halved.
+    """
+    more = 1 if longer else 0
+    pos, size = F.col("pos"), F.col("len") - more
+    after, before = size - pos - 2, pos - more
+    half_after, half_before = F.floor(after / 2).cast("int"), F.floor(before / 2).cast("int")
+    start = pos + 2 + half_after
+    nothing = F.lit("")
+
+    def key(kind: int, there: Column, place: Column, *equal: Column) -> Column:
+        return F.when(there, F.xxhash64(F.lit(kind), place, size, *equal))
+
+    return F.array_compact(
+        F.array(
+            key(0, after >= 0, pos, _cut(0, start), nothing),
+            key(1, half_after > 0, pos, _cut(0, pos + 2), _cut(start + more)),
+            key(2, before >= 0, before, _cut(0, half_before), _cut(pos)),
+            key(3, half_before > 0, before, nothing, _cut(half_before + more)),
+        )
+    )
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """``a, n_a, b, n_b``: each pair of ``words`` (``id, word, n``) that one inserted, deleted or replaced letter tells apart, once."""
     own = written(prefixes(words))
-    spans = F.array(
-        F.struct(F.col("len").alias("len"), F.col("pos").alias("pos")),
-        F.struct((F.col("len") + 1).alias("len"), F.col("pos").alias("pos")),
-        F.struct((F.col("len") + 1).alias("len"), (F.col("pos") + 1).alias("pos")),
-    )
-    asked = own.select(F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("len").alias("len_a"), "gram", F.explode(spans).alias("to"))
-    asked = asked.select("a", "n_a", "len_a", "gram", F.col("to.len").alias("len"), F.col("to.pos").alias("pos"))
-    met = own.select(F.col("word").alias("b"), F.col("n").alias("n_b"), "len", "gram", "pos").join(asked, ["gram", "pos", "len"])
-    one = met.filter((F.col("len_a") < F.col("len")) | (F.col("a") < F.col("b"))).filter(F.levenshtein("a", "b", 1) == 1)
-    return one.select("a", "n_a", "b", "n_b").distinct()
+    equal = own.select("word", F.explode(_keys(False)).alias("key"))
+    longer = own.select("word", F.explode(_keys(True)).alias("key"), F.lit(True).alias("longer"))
+    asked = equal.select(F.col("word").alias("a"), "key")
+    met = equal.withColumn("longer", F.lit(False)).unionByName(longer).withColumnRenamed("word", "b").join(asked, "key").filter(F.col("longer") | (F.col("a") < F.col("b")))
+    pairs = met.filter(F.levenshtein("a", "b", 1) == 1).select("a", "b").distinct()
+    counts = [words.select(F.col("word").alias(x), F.col("n").alias(f"n_{x}")) for x in ("a", "b")]
+    return pairs.join(counts[0], "a").join(counts[1], "b").select("a", "n_a", "b", "n_b")
 
 
 def roots(forms: DataFrame) -> DataFrame:

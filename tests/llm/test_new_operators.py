@@ -6,24 +6,10 @@ import re
 import zlib
 from collections import Counter
 
-import duckdb
 import numpy as np
 import pytest
 
-from moraine.llm import hard_negatives, oracle, queries, secret_scan, spelling_variants
-
-SF = "/root/testdata/sf0.001"
-
-
-@pytest.mark.parametrize("name", ["op12_hard_negatives", "op13_spelling_variants"])
-def test_query_equals_its_sql(spark, name):
-    found = queries.queries()[name](spark, SF)
-    db = duckdb.connect()
-    for t in ("documents", "embeddings"):
-        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    rows = db.execute(f"SELECT {', '.join(found.columns)} FROM ({oracle.SQL[name]})").fetchall()
-    assert Counter(map(tuple, found.collect())) == Counter(rows) and rows
-
+from moraine.llm import hard_negatives, secret_scan, spelling_variants
 
 # 11
 

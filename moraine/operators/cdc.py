@@ -15,6 +15,8 @@ from moraine.registry import TableSpec
 from moraine.sources.versioned import BUCKET, VersionedTable, bucket_of
 
 META = ("op", "lsn", "ts_ms")
+#: Bytes of files that a bucket should have at most: what a merge reads and rewrites for one key.
+BUCKET_BYTES = 256 << 20
 
 
 class SchemaMismatchError(Exception):
@@ -115,7 +117,8 @@ def apply_cdc_events(
     already got to is a replay and changes nothing, whatever was written
     between; another stream counts its own batches. With
     ``allow_schema_evolution`` new columns join the table as nullable ones;
-    dropped or retyped columns are refused.
+    dropped or retyped columns are refused. A table whose buckets have grown
+    over ``BUCKET_BYTES`` is dealt to more of them (``split_buckets``).
     """
     if events.isEmpty():
         return MergeMetrics(table.name)
@@ -169,6 +172,7 @@ def apply_cdc_events(
 
         if last:
             commit = store.write(out, key=[table.primary_key], buckets=touched, operation="merge", replace=False, batch=batch, metrics_of=metrics)
+            split_buckets(spark, target_path)
         else:
             commit = store.write(out, key=[table.primary_key], buckets=count, operation="merge", batch=batch, metrics_of=metrics)
         return MergeMetrics(table.name, **commit.metrics)
@@ -176,6 +180,31 @@ def apply_cdc_events(
         changes.unpersist()
 
 
+def bucket_bytes(spark: SparkSession, path: str) -> dict[int, int]:
+    """Bytes of each bucket's files in the last version, by listing."""
+    commit, out = VersionedTable(spark, path).commit(), {}
+    for b, v in commit.buckets.items():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/data/v={v}/{BUCKET}={b}")
+        out[int(b)] = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return out
+
+
+def split_buckets(spark: SparkSession, path: str, *, limit: int | None = None) -> int:
+    """Deals a table to twice (or four times, ...) as many buckets if the mean of its buckets is over ``limit`` bytes; returns their number.
+
+    One rewrite of the whole table each time it has doubled, so over a
+    table's life every row is moved once or twice for it.
+    """
+    store = VersionedTable(spark, path)
+    commit, sizes = store.commit(), bucket_bytes(spark, path)
+    count, total = commit.bucket_count, sum(sizes.values())
+    while total > count * (BUCKET_BYTES if limit is None else limit):
+        count *= 2
+    if count > commit.bucket_count:
+        store.write(store.read(hidden=True), key=commit.key, buckets=count, operation="split")
+    return count
+
+
 def upsert(spark: SparkSession, rows: DataFrame, path: str, key: list[str], *, buckets: int = 4) -> None:
     """Rows replace those with the same composite key; the rest stays. Used for metadata and incremental marts.
 

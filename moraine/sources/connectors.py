@@ -1,12 +1,13 @@
 """Warehouse and database tables over JDBC, and lakehouse merges, where the cluster has the drivers.
 
-None of these drivers is part of Spark's core, so nothing here is tested against a server.
+Drivers of databases are not part of Spark's core, so what needs one is not tested against a server.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from moraine.sources.change_log import Log, capped, read_log
 from moraine.sources.versioned import VersionedTable
 
 
@@ -35,6 +36,11 @@ def load_table(spark: SparkSession, table: str, silver_root: str, options: dict[
 
 
 def read_change_log(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Raw messages of a change log, tombstones included, at most ``limit`` of them."""
-    df = spark.read.text(path)
-    return df.limit(limit) if limit else df
+    """Raw messages of a change log from its beginning, tombstones included.
+
+    ``limit``: about so many of them, shared by the partitions; offsets tell
+    where to stop, so no more is read.
+    """
+    log = Log(path)
+    first = log.ends(first=True)
+    return read_log(spark, path, start=first, end=capped(first, log.ends(), limit))

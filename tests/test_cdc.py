@@ -162,3 +162,54 @@ def test_upsert_rewrites_only_the_buckets_it_touches(spark, tmp_path):
         upsert(spark, rows.withColumn("w", F.lit(1)), path, ["k"])
     with pytest.raises(ValueError):
         upsert(spark, rows, path, ["v"])
+
+
+def test_two_rows_of_one_key_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k long, v string")
+    with pytest.raises(ValueError):
+        upsert(spark, twice, path, ["k"])
+    assert not VersionedTable(spark, path).exists()
+    upsert(spark, twice.filter("v <> 'b'"), path, ["k"])
+    for odd in (twice, spark.createDataFrame([(None, "x"), (None, "y")], "k long, v string")):
+        with pytest.raises(ValueError):
+            upsert(spark, odd, path, ["k"])
+    assert len(VersionedTable(spark, path).history()) == 1
+
+
+def test_a_record_that_was_lost_halfway_disturbs_nobody(spark, tmp_path):
+    path, rows_ = str(tmp_path / "t"), spark.range(5).selectExpr("id AS k", "id AS v")
+    store = VersionedTable(spark, path)
+    upsert(spark, rows_, path, ["k"])
+    (tmp_path / "t" / "_commits" / "000000001.json").touch()  # an empty record, as a writer of old could leave it
+    (tmp_path / "t" / "_commits" / "_000000001-aside").write_text("{")  # and one that was never renamed
+    assert store.read().count() == 5 and store.commit().version == 0
+    upsert(spark, spark.sql("SELECT 2L AS k, 20L AS v"), path, ["k"])
+    assert {r["k"]: r["v"] for r in store.read().collect()}[2] == 20 and [c.version for c in store.history()] == [0, 1]
+
+
+def test_a_version_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, spark.range(3).selectExpr("id AS k", "id AS v"), path, ["k"])
+    store = VersionedTable(spark, path)
+    with pytest.raises(FileExistsError):
+        store._record(store.commit())
+    assert [f for f in (tmp_path / "t" / "_commits").iterdir() if f.name.startswith("_0")] == []
+
+
+def test_a_grown_table_gets_more_buckets(spark, tmp_path, monkeypatch):
+    from moraine.operators import cdc
+
+    path = str(tmp_path / "t")
+    apply(spark, path, [("c", i, i, "a", 1.0) for i in range(60)], buckets=2, guard_lsn=True)
+    apply(spark, path, [("d", 100, 7, "a", 1.0)], guard_lsn=True, batch_id=3, stream="s")
+    assert VersionedTable(spark, path).commit().bucket_count == 2
+    largest = max(cdc.bucket_bytes(spark, path).values())
+    monkeypatch.setattr(cdc, "BUCKET_BYTES", largest // 2)
+    apply(spark, path, [("u", 101, 8, "b", 1.0)], guard_lsn=True)
+    last = VersionedTable(spark, path).commit()
+    assert last.bucket_count in (4, 8) and last.operation == "split" and last.applied["s"]["batch"] == 3
+    monkeypatch.setattr(cdc, "BUCKET_BYTES", 1 << 30)
+    apply(spark, path, [("u", 50, 7, "late", 1.0), ("u", 102, 9, "c", 1.0)], guard_lsn=True)  # the tombstone is still there
+    got = rows(spark, path)
+    assert len(got) == 59 and (8, "b", 1.0) in got and (9, "c", 1.0) in got

@@ -8,6 +8,7 @@ from moraine.operators.cdc import normalize
 from moraine.plans.pipeline import Paths, ingest_log
 from moraine.registry import TableSpec
 from moraine.sources.change_log import Log, append_log, capped, read_log
+from moraine.sources.connectors import read_change_log
 from moraine.sources.versioned import VersionedTable
 from moraine.streaming.ingest import ProgressLog, change_log_source, decode_json, stream_table
 from moraine.streaming.lag import OffsetLedger, committed, lag, lag_frame
@@ -76,6 +77,14 @@ def test_reads_between_places(spark, tmp_path):
         messages(spark, [("c", 1, 1, "a", 1.0)]).selectExpr("0 AS partition", "0L AS offset", "now() AS timestamp", "binary(k) AS key", "binary(v) AS value").write.format("change_log").option("path", path).mode("overwrite").save()
 
 
+def test_raw_messages_up_to_a_number(spark, tmp_path):
+    path = str(tmp_path / "log")
+    append(spark, path, random_events(100))
+    some = read_change_log(spark, path, 10)
+    assert 10 <= some.count() <= 12 and set(some.columns) == {"partition", "offset", "timestamp", "key", "value"}
+    assert read_change_log(spark, path).count() == 100 and read_change_log(spark, path, 1000).count() == 100
+
+
 def test_caps_are_shared_by_what_waits():
     assert capped({"0": 5}, {"0": 5, "1": 100}, 10) == {"0": 5, "1": 10}
     assert capped({}, {"0": 3, "1": 4}, 7) == {"0": 3, "1": 4} and capped({"0": 9}, {"0": 9}, 1) == {"0": 9}

@@ -120,6 +120,13 @@ def test_percentile_picks_by_rank(spark):
         got = {r["percent"]: r["value"] for r in serving.percentile(many, "v", [5, 50, 99], ["g"]).collect() if r["g"] == group}
         assert got == {p: exact[round(p / 100 * (len(exact) - 1))] for p in (5, 50, 99)}
     assert serving.percentile(values.limit(0), "v", [50]).count() == 0
+    days = spark.sql("SELECT timestampadd(DAY, CAST(id AS INT), timestamp_ntz'2024-01-01') AS v FROM range(11)")
+    assert serving.percentile(days, "v", [50]).first()["value"].day == 6
+    with pytest.raises(TypeError):
+        serving.percentile(spark.sql("SELECT 'a' AS v"), "v", [50])
+    once = serving.percentile(spark.range(1000).selectExpr("id % 7 AS v", "id % 2 AS g"), "v", [50], ["g"])
+    once.collect()
+    assert "ReusedExchange" in once._jdf.queryExecution().executedPlan().toString()  # the counts are made once
 
 
 def test_names_of_schemas():

@@ -14,9 +14,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, StructType
 
-from moraine.streaming.ingest import envelope_schema, strip_frame
+from moraine.operators.cdc import normalize
+from moraine.registry import TableSpec
+from moraine.streaming.ingest import decode_json, envelope_schema, stream_table, strip_frame
+from moraine.streaming.newest import newest_only
 
 
 def schema_id(value: Column) -> Column:
@@ -92,3 +96,30 @@ def _opened(raw: DataFrame, schemas: Mapping[int, StructType | str], row: Struct
         )
         decoded = F.when(F.col("schema_id") == number, flat).otherwise(decoded)
     return raw.withColumn("schema_id", schema_id(F.col(column))).withColumn("e", decoded)
+
+
+def stream_messages(
+    spark: SparkSession,
+    table: TableSpec,
+    raw: DataFrame,
+    *,
+    target_path: str,
+    checkpoint_path: str,
+    schemas: Mapping[int, StructType | str] | None = None,
+    avro: bool = False,
+    drop_stale: bool = False,
+    ttl_ms: int | None = None,
+    **options,
+) -> StreamingQuery:
+    """A table's raw messages, from a topic or a change log, into its versioned table: decode, drop stale events, merge.
+
+    ``schemas``: the writers' schemas of framed messages by number; without
+    them a message is bare JSON. ``drop_stale`` keeps the highest log position
+    of each key in the stream's state (for ``ttl_ms``, or for good). ``options``
+    are ``stream_table``'s. For a topic of Avro messages: ``raw`` from
+    ``kafka_source``, the schemas' texts, and ``avro=True``.
+    """
+    events = decode_versions(raw, schemas, table.schema, avro=avro) if schemas else decode_json(raw, table.schema)
+    if drop_stale:
+        events = newest_only(normalize(events, table.columns), table.primary_key, ttl_ms=ttl_ms)
+    return stream_table(spark, table, events, target_path=target_path, checkpoint_path=checkpoint_path, **options)

@@ -13,7 +13,7 @@ from moraine.sources.versioned import VersionedTable
 from moraine.streaming.ingest import ProgressLog, change_log_source, decode_json, stream_table
 from moraine.streaming.lag import OffsetLedger, committed, lag, lag_frame
 from moraine.streaming.newest import newest_only
-from moraine.streaming.versions import decode_versions, frame, load_schemas, save_schema, schema_id, unreadable
+from moraine.streaming.versions import decode_versions, frame, load_schemas, save_schema, schema_id, stream_messages, unreadable
 
 WIDGET = TableSpec("widget", "id", "id bigint, name string, amount double")
 
@@ -252,3 +252,37 @@ def test_each_message_has_its_own_schema(spark, tmp_path):
     assert got == [(1, "old", None, "c", 1, 0), (2, "new", 2.5, "c", 2, 5), (3, "text", 7.5, "u", 3, 0), (4, "text", None, "u", 4, 0)]
     assert sorted((r["i"], r["schema_id"]) for r in unreadable(raw, schemas, row).collect()) == [(4, 9), (5, 2), (91, None)]
     assert decode_versions(raw, {}, row).count() == 0
+
+
+def test_one_call_from_messages_to_the_table(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    log, target, checkpoint = (str(tmp_path / x) for x in ("log", "t", "cp"))
+    schemas = {1: StructType.fromDDL("id bigint, name string"), 2: WIDGET.schema}
+    events = random_events(60, seed=11)
+    rng = random.Random(5)
+    rng.shuffle(events)
+    for cut in (events[:35], events[35:]):
+        framed = messages(spark, cut).withColumn("i", F.monotonically_increasing_id()).withColumn("v", F.when(F.col("o") % 2 == 0, frame(1, F.col("v"))).otherwise(frame(2, F.col("v"))))
+        append_log(framed, log, key="k", value="v", order="i", partitions=2)
+        stream_messages(spark, WIDGET, change_log_source(spark, log), schemas=schemas, drop_stale=True, target_path=target, checkpoint_path=checkpoint, available_now=True).awaitTermination(180)
+    expected = [(k, name, None if amount % 2 == 0 else amount) for k, name, amount in newest(events)]
+    assert stored(spark, target) == sorted(expected)
+
+
+def test_state_goes_after_its_time(spark, tmp_path):
+    import time
+
+    log, checkpoint, got = str(tmp_path / "log"), str(tmp_path / "cp"), []
+
+    def run():
+        flat = normalize(decode_json(change_log_source(spark, log), WIDGET.schema), WIDGET.columns)
+        query = newest_only(flat, "id", ttl_ms=2000).writeStream.foreachBatch(lambda df, i: got.extend(r["lsn"] for r in df.collect())).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination(180)
+
+    append(spark, log, [("c", 10, 1, "a", 1.0)])
+    run()
+    time.sleep(2.5)
+    append(spark, log, [("u", 5, 1, "late", 1.0), ("u", 4, 1, "later", 1.0)])
+    run()
+    assert got == [10, 5]

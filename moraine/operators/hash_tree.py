@@ -2,7 +2,7 @@
 
 A row's place follows from the hash of its key, four bits a level; a node's
 hash is the sum of its rows' hashes. A side's tree is stored once, with its
-rows in folders by their first two levels and in order of their leaves. Two
+rows in folders by their first levels and in order of their leaves. Two
 trees are compared from the top: a level's nodes are looked at only under
 parents that differ, and rows are read only from folders, and kept only from
 leaves, that differ. What the leaves hold is then compared column by column.
@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from moraine.functions.values import canonical
 from moraine.operators.reconcile import full_diff
 
-#: Bits a level, and levels that make a folder of rows.
+#: Bits a level, and levels that make a folder of rows: 256 folders, or 16 where a tree has two levels only.
 BITS, FOLDER = 4, 2
 #: Rows that a leaf has about, which sets the depth.
 LEAF_ROWS = 1_000
@@ -38,6 +38,11 @@ def levels_for(rows: int) -> int:
     return levels
 
 
+def _below_folders(levels: int) -> int:
+    """Bits of a leaf's number below its folder's."""
+    return BITS * (levels - (FOLDER if levels > FOLDER else FOLDER - 1))
+
+
 @dataclass(frozen=True)
 class HashTree:
     """The stored tree of one side at ``path``."""
@@ -73,7 +78,7 @@ def write_tree(df: DataFrame, path: str, key: str, columns: list[str], *, levels
     row = F.xxhash64(*[x for t in texts for x in (F.length(t), t)])
     leaf = F.when(F.col(key).isNull(), F.lit(NULLS).cast("long")).otherwise(F.shiftrightunsigned(F.xxhash64(canonical(F.col(key), kinds[key])), 64 - BITS * levels))
     placed = df.withColumns({"_leaf": leaf, "_hash": row})
-    placed = placed.withColumn("_folder", F.when(F.col("_leaf") < 0, NULLS).otherwise(F.shiftright("_leaf", BITS * (levels - FOLDER))).cast("int"))
+    placed = placed.withColumn("_folder", F.when(F.col("_leaf") < 0, NULLS).otherwise(F.shiftright("_leaf", _below_folders(levels))).cast("int"))
     # Null keys may be many, and need no order: they are dealt out.
     dealt = placed.repartition(F.col("_folder"), F.when(F.col("_folder") < 0, F.pmod(F.col("_hash"), F.lit(64)))).sortWithinPartitions("_folder", "_leaf")
     dealt.write.partitionBy("_folder").mode("overwrite").parquet(f"{path}/rows")
@@ -118,7 +123,7 @@ def tree_diff(source: HashTree, target: HashTree, columns: list[str], scratch: s
             break
     if not n:
         return full_diff(source.rows().limit(0).drop("_folder"), target.rows().limit(0).drop("_folder"), source.key, columns, **tolerances)
-    folder = F.when(F.col("node") < 0, F.col("node")).otherwise(F.shiftright("node", BITS * (source.levels - FOLDER)))
+    folder = F.when(F.col("node") < 0, F.col("node")).otherwise(F.shiftright("node", _below_folders(source.levels)))
     folders = [r[0] for r in left.select(folder.cast("int").alias("f")).distinct().collect()]  # at most 257
     leaves = left.select(F.col("node").alias("_node"))
     leaves = F.broadcast(leaves) if n <= BROADCAST_LEAVES else leaves

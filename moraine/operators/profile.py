@@ -65,7 +65,8 @@ def sketched(df: DataFrame, table: str, version: str) -> DataFrame:
     """One row per column with all that a profile needs, in a form that can be merged with other versions' or parts' rows.
 
     Distinct values are held as a sketch; numbers have sums and numeric
-    extremes, other types extremes of their text.
+    extremes (null where 38 digits don't hold them, NaN and infinity too),
+    other types extremes of their text.
     """
 
     def stats(f) -> Column:
@@ -81,8 +82,8 @@ def sketched(df: DataFrame, table: str, version: str) -> DataFrame:
             F.count_if(c.isNull()).alias("null_count"),
             F.hll_sketch_agg(text, F.lit(LG_REGISTERS)).alias("sketch"),
             (F.sum(c.cast("double")) if number else none("double")).alias("total"),
-            (F.min(c).cast("decimal(38,10)") if number else none("decimal(38,10)")).alias("least_number"),
-            (F.max(c).cast("decimal(38,10)") if number else none("decimal(38,10)")).alias("most_number"),
+            (F.min(c).try_cast("decimal(38,10)") if number else none("decimal(38,10)")).alias("least_number"),
+            (F.max(c).try_cast("decimal(38,10)") if number else none("decimal(38,10)")).alias("most_number"),
             (none("string") if number else F.min(text)).alias("least_text"),
             (none("string") if number else F.max(text)).alias("most_text"),
         )

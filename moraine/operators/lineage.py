@@ -1,4 +1,4 @@
-"""What hangs on what: models behind a table, followed by a recursive query, and drift explained by it."""
+"""What hangs on what: models behind a table, followed level by level, and drift explained by it."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from moraine.operators.cdc import upsert
 from moraine.operators.drift import DriftReport
 from moraine.registry import DOWNSTREAM
+from moraine.session import scratch
 from moraine.sources.versioned import VersionedTable
 
 EDGES_DDL = "parent string, child string"
@@ -29,19 +30,24 @@ def model_edges(spark: SparkSession) -> DataFrame:
 def reach(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """``root, node, depth``: every node below each of ``roots`` (a column ``root``) with the length of its shortest path.
 
-    Edges with a null end lead nowhere. Chains of more than ``LEVELS`` edges
-    are taken for cycles and raise Spark's error.
+    Edges with a null end lead nowhere. A level is a join of the level above
+    with the edges, each node once, kept in the shared folder: rows have no
+    limit, and paths that meet again are followed once. Chains of more than
+    ``LEVELS`` edges are taken for cycles and raise a ``ValueError``.
     """
-    paths = edges.sparkSession.sql(
-        f"""WITH RECURSIVE below(root, node, depth) MAX RECURSION LEVEL {LEVELS} AS (
-          SELECT root, child AS node, 1 AS depth FROM {{roots}} JOIN {{edges}} ON root = parent
-          UNION ALL
-          SELECT root, child, depth + 1 FROM below JOIN {{edges}} ON node = parent)
-        SELECT root, node, depth FROM below""",
-        edges=edges.filter("parent is not null and child is not null").distinct(),
-        roots=roots.filter("root is not null").distinct(),
-    )
-    return paths.groupBy("root", "node").agg(F.min("depth").alias("depth"))
+    spark, path = edges.sparkSession, scratch(edges.sparkSession)
+    edges.filter("parent is not null and child is not null").select("parent", "child").write.parquet(f"{path}/edges")
+    links = spark.read.parquet(f"{path}/edges")
+    last = roots.filter("root is not null").select("root", F.col("root").alias("node")).distinct()
+    found = last.select("root", "node", F.lit(0).alias("depth")).limit(0)
+    for depth in range(1, LEVELS + 2):
+        below = last.join(links, F.col("node") == F.col("parent")).select("root", F.col("child").alias("node")).distinct()
+        below.write.parquet(f"{path}/level={depth}")
+        last = spark.read.parquet(f"{path}/level={depth}")
+        if last.isEmpty():
+            return found.groupBy("root", "node").agg(F.min("depth").alias("depth"))
+        found = found.unionByName(last.select("root", "node", F.lit(depth).alias("depth")))
+    raise ValueError(f"a chain has more than {LEVELS} edges: a cycle")
 
 
 def downstream(spark: SparkSession, table: str, edges: DataFrame | None = None) -> list[str]:

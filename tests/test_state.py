@@ -180,6 +180,13 @@ def test_reach_by_plain_search(spark):
         lineage.reach(spark.createDataFrame([("a", "b"), ("b", "a")], lineage.EDGES_DDL), spark.createDataFrame([("a",)], "root string")).collect()
 
 
+def test_reach_follows_meeting_paths_once(spark):
+    """Two to the power of 21 paths, and more rows than Spark's recursive queries may have."""
+    edges = [("top", f"0{x}") for x in "ab"] + [(f"{k}{x}", f"{k + 1}{y}") for k in range(20) for x in "ab" for y in "ab"]
+    got = {(r["node"], r["depth"]) for r in lineage.reach(spark.createDataFrame(edges, lineage.EDGES_DDL), spark.createDataFrame([("top",)], "root string")).collect()}
+    assert got == {(f"{k}{x}", k + 1) for k in range(21) for x in "ab"}
+
+
 def test_drift_is_explained_once(spark, tmp_path):
     assert lineage.downstream(spark, "orders") == ["stg_orders", "gold_customer_segments", "gold_migration_summary", "gold_revenue_daily"]
     assert lineage.downstream(spark, "nothing") == []

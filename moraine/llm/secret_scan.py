@@ -22,8 +22,7 @@ import base64
 import hashlib
 import math
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +56,9 @@ MOST = 27.86
 #: Sums are counted in steps of 1 / STEPS up to the last bin.
 STEPS, BINS = 4, 400
 #: Bytes of text in hand at a time, and symbols in one matrix of the battery.
-PIECE, SYMBOLS = 2_000_000, 500_000
+PIECE, SYMBOLS = 2_000_000, 32_000
+#: Letters in hand at a time. Longer texts are cut at its multiples, where a row of each stratum ends.
+BLOCK = 230_400
 
 _CODES = {}
 for _name, _symbols in ALPHABETS.items():
@@ -68,39 +69,62 @@ _CODES["base64"][[ord("-"), ord("_")]] = (62, 63)
 _NOT_LETTERS = bytes(b for b in range(256) if not (65 <= b <= 90 or 97 <= b <= 122))
 _Z = np.linspace(0, 38, 3801)
 _UPPER = np.array([-math.log(math.erfc(z / math.sqrt(2)) / 2) for z in _Z])
+_STEPS_UP = np.diff(_UPPER)
 
 
 def upper_tail(z: np.ndarray) -> np.ndarray:
     """``-ln P(Z >= z)`` of the normal distribution; flat beyond 38."""
-    return np.where(z >= 0, np.interp(z, _Z, _UPPER), -np.log1p(-np.exp(-np.interp(-z, _Z, _UPPER))))
+    place = np.minimum(np.abs(z), _Z[-1]) * 100
+    i = np.minimum(place.astype(np.int64), len(_Z) - 2)
+    out = _UPPER[i] + (place - i) * _STEPS_UP[i]
+    below = np.flatnonzero(z < 0)
+    if len(below):
+        out[below] = -np.log1p(-np.exp(-out[below]))
+    return out
 
 
-def battery(codes: np.ndarray, k: int) -> np.ndarray:
-    """Fisher's sum over the three tests for each row of symbols ``0..k-1``."""
-    m, n = codes.shape
-    counts = np.bincount((np.arange(m)[:, None] * k + codes).ravel(), minlength=m * k).reshape(m, k)
-    chi = (counts.astype(np.float64) ** 2).sum(axis=1) * (k / n) - n
+def running(x: np.ndarray, k: int) -> list[np.ndarray]:
+    """Sums up to each place of symbols, squares, products of neighbours, symbols above the alphabet's middle, and changes between below and above."""
+    above = x >= k / 2
+    parts = (x, x * x, x[:-1] * x[1:], above, above[1:] != above[:-1])
+    return [np.concatenate((np.zeros(1, np.int64), np.cumsum(v, dtype=np.int64))) for v in parts]
+
+
+def tested(x: np.ndarray, upto: list[np.ndarray], starts: np.ndarray, n: int, k: int) -> np.ndarray:
+    """Fisher's sum over the three tests for each row of ``n`` symbols ``0..k-1`` of ``x`` that begins at one of ``starts``."""
+    squares = np.empty(len(starts))
+    step, along = max(1, SYMBOLS // n), np.arange(n)
+    for a in range(0, len(starts), step):
+        some = starts[a : a + step]
+        at = x[some[:, None] + along]
+        at += (np.arange(len(some)) * k)[:, None]
+        counts = np.bincount(at.ravel(), minlength=len(some) * k).reshape(-1, k)
+        squares[a : a + step] = np.einsum("ij,ij->i", counts, counts)
+    total, square, up = (u[starts + n] - u[starts] for u in (upto[0], upto[1], upto[3]))
+    product, changes = (u[starts + n - 1] - u[starts] for u in (upto[2], upto[4]))
     # Sparse counts: the exact mean and variance under uniformity, matched by a scaled chi-squared, then Wilson and Hilferty's cube root.
+    chi = squares * (k / n) - n
     mean, var = k - 1.0, 2.0 * (k - 1) * (n - 1) / n
     df = 2 * mean * mean / var
-    cube = (np.maximum(chi, 0) / mean) ** (1 / 3)
-    uniform = upper_tail((cube - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    uniform = upper_tail((np.cbrt(np.maximum(chi, 0) / mean) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
     # Runs below and above the middle, given how many symbols are above.
-    above = codes >= k / 2
-    up = above.sum(axis=1).astype(np.float64)
-    down = n - up
-    runs = 1 + (above[:, 1:] != above[:, :-1]).sum(axis=1)
-    expected = 1 + 2 * up * down / n
+    mixed = up * (n - up)
+    expected = 1 + 2.0 * mixed / n
     spread = np.sqrt(np.maximum((expected - 1) * (expected - 2) / (n - 1), 1e-9))
-    alternating = np.where(up * down > 0, upper_tail(np.abs(runs - expected) / spread) - math.log(2), n * math.log(2))
-    # Correlation of neighbours, about 1 / sqrt(n) wide and 1 / n low if there is none.
-    centred = codes - codes.mean(axis=1, keepdims=True)
-    total = (centred**2).sum(axis=1)
-    serial = (centred[:, 1:] * centred[:, :-1]).sum(axis=1) / np.maximum(total, 1e-9)
-    correlated = np.where(total > 0, upper_tail(np.abs(serial + 1 / n) * math.sqrt(n)) - math.log(2), n * math.log(2))
+    alternating = np.where(mixed > 0, upper_tail(np.abs(1 + changes - expected) / spread) - math.log(2), n * math.log(2))
+    # Correlation of neighbours, about 1 / sqrt(n) wide and 1 / n low if there is none; both sums are n * n times the centred ones.
+    width = n * (n * square - total * total)
+    shared = n * n * product - n * total * (2 * total - x[starts] - x[starts + n - 1]) + (n - 1) * total * total
+    correlated = np.where(width > 0, upper_tail(np.abs(shared / np.maximum(width, 1) + 1 / n) * math.sqrt(n)) - math.log(2), n * math.log(2))
     return 2 * (uniform + np.maximum(alternating, 0) + np.maximum(correlated, 0))
 
 
+def battery(codes: np.ndarray, k: int) -> np.ndarray:
+    """Fisher's sum over the three tests for each row of symbols ``0..k-1``."""
+    x = codes.ravel()
+    return tested(x, running(x, k), np.arange(len(codes)) * codes.shape[1], codes.shape[1], k)
+
+
 def encoding(token: bytes) -> tuple[str, bytes] | None:
     """The encoding of a token and its symbols; digits alone are no secret here."""
     symbols = token.rstrip(b"=")
@@ -123,21 +147,41 @@ def bins(sums: np.ndarray) -> np.ndarray:
     return np.minimum(sums * STEPS, BINS).astype(np.int64)
 
 
-def ordinary(text: bytes) -> tuple[int, np.ndarray] | None:
-    """The stratum that a text speaks for (dealt by its CRC) and its letters, written so and cut to length, as rows of codes."""
-    s = zlib.crc32(text) % len(STRATA)
-    name, n = STRATA[s]
-    letters = text.translate(None, _NOT_LETTERS)
-    if name == "hex":
-        letters = letters.hex().encode()
-    elif name == "base32":
-        letters = base64.b32encode(letters).rstrip(b"=")
-    elif name == "base64":
-        letters = base64.b64encode(letters).rstrip(b"=")
-    elif name == "base36":
-        letters = letters.lower()
-    rows = len(letters) // n
-    return (s, np.frombuffer(letters, np.uint8, rows * n).reshape(rows, n)) if rows else None
+def ordinary(texts: Iterable[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """For every stratum the sums of the texts' letters, all of them written in its encoding and each text cut to its length from the start on."""
+    parts = [letters[a : a + BLOCK] for t in texts for letters in (t.translate(None, _NOT_LETTERS),) for a in range(0, len(letters), BLOCK)]
+    plain = b"".join(parts)
+    if not plain:
+        return
+    sizes = np.array([len(p) for p in parts])
+    for name, symbols in ALPHABETS.items():
+        if name == "hex":
+            whole = np.frombuffer(plain, np.uint8)
+            x, lengths = np.stack((whole >> 4, whole & 15), axis=1).ravel().astype(np.int64), 2 * sizes
+        elif name in ("base32", "base64"):
+            written = [(base64.b32encode if name == "base32" else base64.b64encode)(p).rstrip(b"=") for p in parts]
+            x, lengths = _CODES[name][np.frombuffer(b"".join(written), np.uint8)], np.array([len(w) for w in written])
+        else:
+            x, lengths = _CODES[name][np.frombuffer(plain.lower() if name == "base36" else plain, np.uint8)], sizes
+        upto, ends = running(x, len(symbols)), np.cumsum(lengths)
+        for n in LENGTHS:
+            rows = lengths // n
+            if rows.any():
+                starts = np.repeat(ends - lengths - n * (np.cumsum(rows) - rows), rows) + n * np.arange(rows.sum())
+                yield STRATA.index((name, n)), tested(x, upto, starts, n, len(symbols))
+
+
+def grouped(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
+    """Texts in lists of ``BLOCK`` bytes or one text more."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t)
+        if size >= BLOCK:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def candidates(texts: list[str]) -> tuple[list[list[tuple[int, int, int]]], dict[int, np.ndarray]]:
@@ -170,15 +214,9 @@ def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((len(STRATA), 2, BINS + 1), np.int64)
     for batch in slices(batches, "text", PIECE):
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        by: dict[int, list[np.ndarray]] = {}
-        for t in texts:
-            if told := ordinary(t.encode()):
-                by.setdefault(told[0], []).append(told[1])
-        for s, parts in by.items():
-            name, n = STRATA[s]
-            whole = np.concatenate(parts)
-            for a in range(0, len(whole), step := SYMBOLS // n):
-                counts[s, 0] += np.bincount(bins(battery(_CODES[name][whole[a : a + step]], len(ALPHABETS[name]))), minlength=BINS + 1)
+        for group in grouped(t.encode() for t in texts):
+            for s, sums in ordinary(group):
+                counts[s, 0] += np.bincount(bins(sums), minlength=BINS + 1)
         for s, found in candidates(texts)[1].items():
             counts[s, 1] += np.bincount(found[:, 1], minlength=BINS + 1)
     at = np.nonzero(counts)

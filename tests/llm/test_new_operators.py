@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from moraine.llm import hard_negatives, secret_scan, spelling_variants
@@ -115,6 +116,23 @@ def test_thresholds_by_brute_force():
         assert last == best
 
 
+def test_every_text_speaks_for_every_stratum(monkeypatch):
+    monkeypatch.setattr(secret_scan, "BLOCK", 28_800)
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("aBcdEfg hij 12."), size)) for size in (10, 200, 3_000, 90_000)]
+    table = next(secret_scan.counting(iter([pa.RecordBatch.from_pydict({"text": [None, *texts]})])))
+    got = {(s, b): n for s, side, b, n in zip(*(c.to_pylist() for c in table.columns)) if side == 0}
+    expected = Counter()
+    for s, (name, n) in enumerate(secret_scan.STRATA):
+        for t in texts:
+            letters = "".join(c for c in t if c.isalpha()).encode()
+            written = {"hex": letters.hex().encode(), "base32": base64.b32encode(letters).rstrip(b"="), "base36": letters.lower(), "base62": letters, "base64": base64.b64encode(letters).rstrip(b"=")}[name]
+            codes = secret_scan._CODES[name][np.frombuffer(written, np.uint8)]
+            rows = codes[: len(codes) // n * n].reshape(-1, n)
+            expected.update((s, int(b)) for b in secret_scan.bins(secret_scan.battery(rows, len(secret_scan.ALPHABETS[name]))))
+    assert got == expected and {s for s, _ in got} == set(range(len(secret_scan.STRATA)))
+
+
 def secret_documents(spark, copies=1):
     rng = random.Random(5)
     prose = [" ".join(rng.choice(["river", "stone", "walking", "evening", "about", "light", "some", "other", "there", "never"]) for _ in range(400)) for _ in range(150)]

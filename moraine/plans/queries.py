@@ -397,9 +397,16 @@ for _name, _sql in {
 
 # --- reconciliation
 
+def _unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, each number once. Rows are few a number: they go to their group's task as they are, and are put in order there only."""
+    columns = TABLES["orders"].columns
+    rows = entity(spark, sf_dir, "orders").repartition("order_id")
+    return rows.groupBy("order_id").agg(*[F.min(c).alias(c) for c in columns if c != "order_id"]).select(*columns)
+
+
 def _copy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Unique orders, and a copy with rows missing, a changed status, prices and times off by little and by much, and one row more."""
-    source = entity(spark, sf_dir, "orders").groupBy("order_id").agg(*[F.min(c).alias(c) for c in TABLES["orders"].columns if c != "order_id"]).select(*TABLES["orders"].columns)
+    source = _unique(spark, sf_dir)
     k = F.col("order_id")
     price = F.col("unit_price") + F.when(k % 7 == 0, F.lit("0.005")).when(k % 11 == 0, F.lit("0.05")).otherwise(F.lit("0")).cast("decimal(12,3)")
     time = F.when(k % 5 == 0, F.col("created_at") + F.expr("INTERVAL '0.5' SECOND")).when(k % 13 == 0, F.col("created_at") + F.expr("INTERVAL '5' SECOND")).otherwise(F.col("created_at"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession) -> str:
@@ -21,6 +21,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` as files in the shared folder, for plans that would make its rows more than once."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def session(app: str = "moraine", master: str | None = None, **conf: str) -> SparkSession:
     """Adaptive execution on, UTC, ANSI left on: dirty text goes through ``try_cast``. ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

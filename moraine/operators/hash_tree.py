@@ -69,7 +69,7 @@ def write_tree(df: DataFrame, path: str, key: str, columns: list[str], *, levels
     """
     if not FOLDER <= levels <= 15:
         raise ValueError(f"a tree has {FOLDER} to 15 levels")
-    taken = {"_leaf", "_folder", "_hash"} & set(df.columns)
+    taken = {"_leaf", "_folder"} & set(df.columns)
     if taken:
         raise ValueError(f"columns {sorted(taken)} are the tree's own")
     spark, kinds = df.sparkSession, {f.name: f.dataType for f in df.schema}
@@ -77,13 +77,12 @@ def write_tree(df: DataFrame, path: str, key: str, columns: list[str], *, levels
     texts = [canonical(F.col(c), kinds[c]) for c in sorted(columns)]
     row = F.xxhash64(*[x for t in texts for x in (F.length(t), t)])
     leaf = F.when(F.col(key).isNull(), F.lit(NULLS).cast("long")).otherwise(F.shiftrightunsigned(F.xxhash64(canonical(F.col(key), kinds[key])), 64 - BITS * levels))
-    placed = df.withColumns({"_leaf": leaf, "_hash": row})
-    placed = placed.withColumn("_folder", F.when(F.col("_leaf") < 0, NULLS).otherwise(F.shiftright("_leaf", _below_folders(levels))).cast("int"))
-    # Null keys may be many, and need no order: they are dealt out.
-    dealt = placed.repartition(F.col("_folder"), F.when(F.col("_folder") < 0, F.pmod(F.col("_hash"), F.lit(64)))).sortWithinPartitions("_folder", "_leaf")
+    folder = F.when(leaf < 0, NULLS).otherwise(F.shiftright(leaf, _below_folders(levels))).cast("int")
+    # Null keys may be many, and need no order: they are dealt out. What follows from a row is made anew behind the shuffle and where rows are read, not moved or stored.
+    dealt = df.repartition(folder, F.when(folder < 0, F.pmod(row, F.lit(64)))).withColumns({"_leaf": leaf, "_folder": folder}).sortWithinPartitions("_folder", "_leaf")
     dealt.write.partitionBy("_folder").mode("overwrite").parquet(f"{path}/rows")
-    tree = HashTree(spark, path, key, levels, placed.schema)
-    leaves = tree.rows().groupBy(F.col("_leaf").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_hash").cast("decimal(28,0)")).cast("decimal(38,0)").alias("h"))
+    tree = HashTree(spark, path, key, levels, dealt.schema)
+    leaves = tree.rows().groupBy(F.col("_leaf").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(28,0)")).cast("decimal(38,0)").alias("h"))
     leaves.write.mode("overwrite").parquet(f"{path}/level={levels}")
     for level in range(levels - 1, 0, -1):
         up = tree.nodes(level + 1).groupBy(F.when(F.col("node") < 0, F.col("node")).otherwise(F.shiftright("node", BITS)).alias("node"))
@@ -129,7 +128,7 @@ def tree_diff(source: HashTree, target: HashTree, columns: list[str], scratch: s
     leaves = F.broadcast(leaves) if n <= BROADCAST_LEAVES else leaves
 
     def opened(tree: HashTree) -> DataFrame:
-        return tree.rows().filter(F.col("_folder").isin(folders)).join(leaves, F.col("_leaf") == F.col("_node"), "left_semi").drop("_folder", "_leaf", "_hash")
+        return tree.rows().filter(F.col("_folder").isin(folders)).join(leaves, F.col("_leaf") == F.col("_node"), "left_semi").drop("_folder", "_leaf")
 
     return full_diff(opened(source), opened(target), source.key, columns, **tolerances)
 

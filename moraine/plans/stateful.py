@@ -12,9 +12,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from moraine.operators import cdc, expectations, gold, hash_tree, lineage, profile, reconcile, revenue_state, serving
-from moraine.plans.queries import _COPY, _DAILY, _DIFF, _LATEST, _PROFILED, _STAGED, _SUITE_SQL, _SUMMARY, _copy, _profile_sql, _samples_sql, _silver_orders, _with, gold_migration_summary, query
+from moraine.plans.queries import _COPY, _DAILY, _DIFF, _LATEST, _PROFILED, _STAGED, _SUITE_SQL, _SUMMARY, _checked_orders, _copy, _profile_sql, _samples_sql, _silver_orders, _unique, _with, gold_migration_summary, query
 from moraine.registry import TABLES
-from moraine.session import scratch
+from moraine.session import kept, scratch
 from moraine.sources.change_log import append_log, read_log
 from moraine.sources.entities import entity, log_of, star
 from moraine.sources.versioned import VersionedTable
@@ -83,7 +83,7 @@ FROM s FULL JOIN t ON s.order_id = t.order_id WHERE s.order_id IS NULL OR t.orde
 def recon_tree_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full difference that opens unequal branches only: few rows missing, changed, or new."""
     columns, k = TABLES["orders"].columns, F.col("order_id")
-    source = entity(spark, sf_dir, "orders").groupBy("order_id").agg(*[F.min(c).alias(c) for c in columns if c != "order_id"]).select(*columns)
+    source = kept(_unique(spark, sf_dir))
     price = F.col("unit_price") + F.when(k % 1501 == 0, F.lit("0.005")).when(k % 1499 == 0, F.lit("0.05")).otherwise(F.lit("0")).cast("decimal(12,3)")
     changed = source.filter(k % 1013 != 1).withColumns({"status": F.when(k % 997 == 0, "lost").otherwise(F.col("status")), "unit_price": price})
     extra = source.filter(k % 2003 == 3).withColumns({"order_id": -k, "unit_price": F.col("unit_price").cast(changed.schema["unit_price"].dataType)})
@@ -170,7 +170,7 @@ def overview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_details_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A suite's newest results, failures first."""
     suite = "silver_orders_suite"
-    tables = {"orders": _silver_orders(spark, sf_dir), **{t: entity(spark, sf_dir, t) for t in ("customers", "products")}}
+    tables = _checked_orders(spark, sf_dir)
     found = expectations.SuiteResult(suite, "only", expectations.validate(expectations.ValidationContext(tables), expectations.SUITES[suite][0]))
     rows = serving.quality_details(expectations.results_frame(spark, found), suite)
     return rows.select("expectation", "success", F.row_number().over(W.orderBy("success", "expectation")).cast("long").alias("place"))  # a row an expectation

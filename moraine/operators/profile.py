@@ -16,11 +16,12 @@ SHOWN = 5
 
 
 def profile(df: DataFrame, table: str, *, exact: bool = False, samples: bool = True) -> DataFrame:
-    """One row per column; all its statistics come from one aggregation over the table.
+    """One row per column; its statistics come from one aggregation over the table, its sample values from another one over distinct values.
 
-    ``exact`` counts distinct values exactly instead of approximately.
+    ``exact`` counts distinct values exactly instead of approximately, also in
+    an aggregation of their own, whose rows carry nothing but values.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
+    distinct = (lambda c: F.lit(None).cast("long")) if exact else F.approx_count_distinct
 
     def stats(f) -> Column:
         c = F.col(f.name)
@@ -34,26 +35,44 @@ def profile(df: DataFrame, table: str, *, exact: bool = False, samples: bool = T
             F.min(c).cast("string").alias("min_value"),
             F.max(c).cast("string").alias("max_value"),
             mean.alias("mean_value"),
-            *([samples_of(c).alias("sample_values")] if samples else []),
         )
 
     wide = df.agg(*[stats(f).alias(f"s{i}") for i, f in enumerate(df.schema)])
     rows = wide.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(df.schema))])))
+    if exact:
+        rows = rows.drop("distinct_count").join(F.broadcast(exact_counts(df).withColumnRenamed("exact", "distinct_count")), "column_name")
+    if samples:
+        rows = rows.join(F.broadcast(sampled(df).drop("exact")), "column_name")
     rate = F.coalesce(F.col("null_count") / F.nullif(F.col("row_count"), F.lit(0)), F.lit(0.0))
     return rows.select(F.lit(table).alias("table_name"), "column_name", "data_type", "row_count", "null_count", rate.alias("null_rate"), "distinct_count", "min_value", "max_value", "mean_value", *(["sample_values"] if samples else []))
 
 
-def samples_of(c: Column) -> Column:
-    """Up to ``SHOWN`` distinct values of a column as an aggregate: of each of ``SHOWN`` parts of the hash space the value hashed lowest.
+def exact_counts(df: DataFrame) -> DataFrame:
+    """``column_name, exact``: how many distinct values each column has, nulls not counted."""
+    wide = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("exact")) for i, c in enumerate(df.columns)])))
 
-    A bottom-k sketch of constant size, in the order of the hashes: the same
-    values whatever the order of rows and however the table is cut.
+
+def sampled(df: DataFrame) -> DataFrame:
+    """``column_name, exact, sample_values``: how many distinct texts each column has, and up to ``SHOWN`` of them.
+
+    Of each of ``SHOWN`` parts of the hash space it is the value hashed
+    lowest, in the order of the hashes: a bottom-k sketch of constant size, the
+    same whatever the order of rows and however the table is cut. Values are
+    made distinct first, so a text is hashed once however often it stands.
     """
-    text = c.cast("string")
-    hashed = F.md5(text)
-    part = F.conv(F.substring(hashed, 32, 1), 16, 10).cast("int") % SHOWN
-    lowest = [F.min(F.when(part == k, F.struct(hashed.alias("h"), text.alias("v")))) for k in range(SHOWN)]
-    return F.transform(F.array_sort(F.array_compact(F.array(*lowest))), lambda s: s["v"])
+    values = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(df.columns)])
+    texts = df.select(F.inline(values)).filter("v is not null").distinct().select("i", "v", F.md5("v").alias("h"))
+    digit = F.ascii(F.substring("h", 32, 1))
+    part = F.when(digit < 58, digit - 48).otherwise(digit - 87) % SHOWN
+    placed = texts.select("i", (F.col("i") * SHOWN + part).alias("place"), F.concat("h", "v").alias("text"))
+
+    def found(i: int, c: str) -> Column:
+        lowest = F.array_compact(F.array(*[F.min(F.when(F.col("place") == i * SHOWN + k, F.col("text"))) for k in range(SHOWN)]))
+        return F.struct(F.lit(c).alias("column_name"), F.count_if(F.col("i") == i).alias("exact"), F.transform(F.array_sort(lowest), lambda s: F.substr(s, F.lit(33))).alias("sample_values"))
+
+    wide = placed.agg(*[found(i, c).alias(f"s{i}") for i, c in enumerate(df.columns)])
+    return wide.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(df.columns))])))
 
 
 #: Two to this power registers in a sketch, whose standard error is 1.04 over the root of their number.
@@ -167,11 +186,14 @@ def catalog_documents(profiles: DataFrame) -> DataFrame:
         F.concat(F.lit("Cardinality "), F.col("distinct_count").cast("string"), F.lit(", null rate "), percent, F.lit(".")),
         F.when(samples != "", F.concat(F.lit("Sample values: "), samples, F.lit("."))),
     )
-    columns = profiles.select(F.lit("column").alias("kind"), "table_name", "column_name", text.alias("text"))
-    names = F.array_join(F.array_sort(F.collect_list("column_name")), ", ")
-    tables = profiles.groupBy("table_name").agg(names.alias("n")).select(F.lit("table").alias("kind"), "table_name", F.lit(None).cast("string").alias("column_name"), F.format_string("Table %s contains columns: %s. It holds %s records in the migrated warehouse.", "table_name", "n", "table_name").alias("text"))
+    # A table's documents come from one reading of its profile, which may not be stored yet.
+    column = F.struct(F.lit("column").alias("kind"), F.col("column_name"), text.alias("text"))
+    gathered = profiles.groupBy("table_name").agg(F.collect_list(column).alias("c"))
+    names = F.array_join(F.array_sort(F.filter(F.transform("c", lambda x: x["column_name"]), lambda x: x.isNotNull())), ", ")
+    table = F.struct(F.lit("table").alias("kind"), F.lit(None).cast("string").alias("column_name"), F.format_string("Table %s contains columns: %s. It holds %s records in the migrated warehouse.", F.col("table_name"), names, F.col("table_name")).alias("text"))
+    documents = gathered.select("table_name", F.inline(F.concat("c", F.array(table))))
     number = F.row_number().over(W.orderBy("kind", "table_name", F.asc_nulls_last("column_name"))) - 1
-    return columns.union(tables).select(number.cast("long").alias("doc_id"), "kind", "table_name", "column_name", "text")
+    return documents.select(number.cast("long").alias("doc_id"), "kind", "table_name", "column_name", "text")
 
 
 def hashed_embedding(dim: int = 384) -> Callable[[pd.Series], pd.Series]:

@@ -43,6 +43,20 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+#: Bytes of a batch that goes to Python, rows of a batch that is read, and bytes of a row group that is written.
+LEAN = {"spark.sql.execution.arrow.maxBytesPerBatch": "3000000b", "spark.sql.parquet.columnarReaderBatchSize": "512", "parquet.block.size": "8000000"}
+
+
+def lean(spark: SparkSession) -> None:
+    """Batches of whole texts in small portions from here on, so that a task's memory doesn't follow its split; what the session has set itself stays.
+
+    Spark's own limits are 64 MB, 4,096 rows and 128 MB. What is asked for here is run later, so the settings stay, too.
+    """
+    for key, value in LEAN.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and its lineage ends there."""
     spark = df.sparkSession

@@ -23,6 +23,7 @@ import hashlib
 import math
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -90,39 +91,113 @@ def running(x: np.ndarray, k: int) -> list[np.ndarray]:
     return [np.concatenate((np.zeros(1, np.int64), np.cumsum(v, dtype=np.int64))) for v in parts]
 
 
-def tested(x: np.ndarray, upto: list[np.ndarray], starts: np.ndarray, n: int, k: int) -> np.ndarray:
-    """Fisher's sum over the three tests for each row of ``n`` symbols ``0..k-1`` of ``x`` that begins at one of ``starts``."""
-    squares = np.empty(len(starts))
-    step, along = max(1, SYMBOLS // n), np.arange(n)
+def sums(upto: list[np.ndarray], starts: np.ndarray, n: int) -> list[np.ndarray]:
+    """``running``'s sums over each row."""
+    ends = starts + n
+    return [u[ends - (i in (2, 4))] - u[starts] for i, u in enumerate(upto)]
+
+
+# Both sums over a row of at most LENGTHS[-1] symbols, side by side in one number: those over symbols, and those over neighbours.
+_FIELDS = ((0, (1 << 16) - 1), (16, (1 << 24) - 1), (40, (1 << 24) - 1))
+
+
+@lru_cache
+def _fields(k: int) -> tuple[np.ndarray, np.ndarray]:
+    """What a symbol, and what two neighbours (``first * k + second``), add to ``packed``'s sums."""
+    v = np.arange(k)
+    above = (v >= k / 2).astype(np.int64)
+    return v + (v * v << 16) + (above << 40), (v[:, None] * v + ((above[:, None] != above).astype(np.int64) << 40)).ravel()
+
+
+def packed(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``running`` in two arrays instead of five. Differences over short rows are right even where a sum has run over."""
+    one, two = _fields(k)
+    alone, pairs = np.zeros(len(x) + 1, np.int64), np.zeros(max(1, len(x)), np.int64)
+    np.cumsum(one[x], out=alone[1:])
+    at = x[:-1] * k
+    at += x[1:]
+    np.cumsum(two[at], out=pairs[1:])
+    return alone, pairs
+
+
+def short_sums(upto: tuple[np.ndarray, np.ndarray], starts: np.ndarray, n: int) -> list[np.ndarray]:
+    """``sums`` from ``packed``."""
+    alone = upto[0][starts + n] - upto[0][starts]
+    pairs = upto[1][starts + n - 1] - upto[1][starts]
+    total, square, up = (alone >> s & m for s, m in _FIELDS)
+    return [total, square, pairs & (1 << 40) - 1, up, pairs >> 40]
+
+
+def squared(x: np.ndarray, starts: np.ndarray, n: int, k: int, keep: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the sum of its symbols' squared counts; and the counts, if they are to be kept (at most 255 each)."""
+    squares = np.empty(len(starts), np.int64)
+    kept = np.empty((len(starts) if keep else 0, k), np.uint8)
+    step, rows = max(1, SYMBOLS // n), np.lib.stride_tricks.sliding_window_view(x, n) if len(x) >= n else x.reshape(0, n)
     for a in range(0, len(starts), step):
-        some = starts[a : a + step]
-        at = x[some[:, None] + along]
-        at += (np.arange(len(some)) * k)[:, None]
-        counts = np.bincount(at.ravel(), minlength=len(some) * k).reshape(-1, k)
+        at = rows[starts[a : a + step]]
+        at += (np.arange(len(at)) * k)[:, None]
+        counts = np.bincount(at.ravel(), minlength=len(at) * k).reshape(-1, k)
         squares[a : a + step] = np.einsum("ij,ij->i", counts, counts)
-    total, square, up = (u[starts + n] - u[starts] for u in (upto[0], upto[1], upto[3]))
-    product, changes = (u[starts + n - 1] - u[starts] for u in (upto[2], upto[4]))
-    # Sparse counts: the exact mean and variance under uniformity, matched by a scaled chi-squared, then Wilson and Hilferty's cube root.
+        if keep:
+            kept[a : a + step] = counts
+    return squares, kept
+
+
+def doubled(counts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``squared`` for rows of twice the length (at most 128), each of them a row of ``counts`` and the one after it."""
+    both = np.empty((len(first), counts.shape[1]), np.uint8)
+    squares = np.empty(len(first), np.int64)
+    step = max(1, SYMBOLS // counts.shape[1])
+    for a in range(0, len(first), step):
+        some = first[a : a + step]
+        two = counts[some] + counts[some + 1]
+        both[a : a + step] = two
+        wide = two.astype(np.uint16)
+        squares[a : a + step] = np.einsum("ij,ij->i", wide, wide)
+    return squares, both
+
+
+def uniform(squares: np.ndarray, n: int, k: int) -> np.ndarray:
+    """Sparse counts: the exact mean and variance under uniformity, matched by a scaled chi-squared, then Wilson and Hilferty's cube root."""
     chi = squares * (k / n) - n
     mean, var = k - 1.0, 2.0 * (k - 1) * (n - 1) / n
     df = 2 * mean * mean / var
-    uniform = upper_tail((np.cbrt(np.maximum(chi, 0) / mean) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
-    # Runs below and above the middle, given how many symbols are above.
+    return upper_tail((np.cbrt(np.maximum(chi, 0) / mean) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+
+
+def alternating(up: np.ndarray, changes: np.ndarray, n: int) -> np.ndarray:
+    """Runs below and above the middle, given how many symbols are above."""
     mixed = up * (n - up)
     expected = 1 + 2.0 * mixed / n
     spread = np.sqrt(np.maximum((expected - 1) * (expected - 2) / (n - 1), 1e-9))
-    alternating = np.where(mixed > 0, upper_tail(np.abs(1 + changes - expected) / spread) - math.log(2), n * math.log(2))
-    # Correlation of neighbours, about 1 / sqrt(n) wide and 1 / n low if there is none; both sums are n * n times the centred ones.
+    return np.maximum(np.where(mixed > 0, upper_tail(np.abs(1 + changes - expected) / spread) - math.log(2), n * math.log(2)), 0)
+
+
+@lru_cache
+def _uniform(n: int, k: int) -> np.ndarray:
+    return uniform(np.arange(n * n + 1), n, k)
+
+
+@lru_cache
+def _alternating(n: int) -> np.ndarray:
+    return alternating(np.arange(n + 1)[:, None], np.arange(n), n).ravel()
+
+
+def fisher(of_counts: np.ndarray, of_runs: np.ndarray, total: np.ndarray, square: np.ndarray, product: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Fisher's sum of the two tests at hand and the correlation of neighbours, about 1 / sqrt(n) wide and 1 / n low if there is none; ``ends``: the first and last symbols' sum."""
+    # Both sums are n * n times the centred ones.
     width = n * (n * square - total * total)
-    shared = n * n * product - n * total * (2 * total - x[starts] - x[starts + n - 1]) + (n - 1) * total * total
+    shared = n * n * product - n * total * (2 * total - ends) + (n - 1) * total * total
     correlated = np.where(width > 0, upper_tail(np.abs(shared / np.maximum(width, 1) + 1 / n) * math.sqrt(n)) - math.log(2), n * math.log(2))
-    return 2 * (uniform + np.maximum(alternating, 0) + np.maximum(correlated, 0))
+    return 2 * (of_counts + of_runs + np.maximum(correlated, 0))
 
 
 def battery(codes: np.ndarray, k: int) -> np.ndarray:
     """Fisher's sum over the three tests for each row of symbols ``0..k-1``."""
-    x = codes.ravel()
-    return tested(x, running(x, k), np.arange(len(codes)) * codes.shape[1], codes.shape[1], k)
+    x, n = codes.ravel(), codes.shape[1]
+    starts = np.arange(len(codes)) * n
+    total, square, product, up, changes = sums(running(x, k), starts, n)
+    return fisher(uniform(squared(x, starts, n, k)[0], n, k), alternating(up, changes, n), total, square, product, x[starts] + x[starts + n - 1], n)
 
 
 def encoding(token: bytes) -> tuple[str, bytes] | None:
@@ -147,6 +222,16 @@ def bins(sums: np.ndarray) -> np.ndarray:
     return np.minimum(sums * STEPS, BINS).astype(np.int64)
 
 
+def base32(parts: list[bytes]) -> np.ndarray:
+    """The symbols of all parts, each part filled up with zeros to whole groups of five bytes."""
+    five = np.frombuffer(b"".join([p + bytes(-len(p) % 5) for p in parts]), np.uint8).reshape(-1, 5)
+    group = five[:, 0].astype(np.int64)
+    for i in range(1, 5):
+        group <<= 8
+        group |= five[:, i]
+    return (group[:, None] >> np.arange(35, -1, -5) & 31).ravel()
+
+
 def ordinary(texts: Iterable[bytes]) -> Iterator[tuple[int, np.ndarray]]:
     """For every stratum the sums of the texts' letters, all of them written in its encoding and each text cut to its length from the start on."""
     parts = [letters[a : a + BLOCK] for t in texts for letters in (t.translate(None, _NOT_LETTERS),) for a in range(0, len(letters), BLOCK)]
@@ -158,17 +243,30 @@ def ordinary(texts: Iterable[bytes]) -> Iterator[tuple[int, np.ndarray]]:
         if name == "hex":
             whole = np.frombuffer(plain, np.uint8)
             x, lengths = np.stack((whole >> 4, whole & 15), axis=1).ravel().astype(np.int64), 2 * sizes
-        elif name in ("base32", "base64"):
-            written = [(base64.b32encode if name == "base32" else base64.b64encode)(p).rstrip(b"=") for p in parts]
+        elif name == "base32":
+            x, lengths, spans = base32(parts), -(-8 * sizes // 5), 8 * -(-sizes // 5)
+        elif name == "base64":
+            written = [base64.b64encode(p).rstrip(b"=") for p in parts]
             x, lengths = _CODES[name][np.frombuffer(b"".join(written), np.uint8)], np.array([len(w) for w in written])
         else:
             x, lengths = _CODES[name][np.frombuffer(plain.lower() if name == "base36" else plain, np.uint8)], sizes
-        upto, ends = running(x, len(symbols)), np.cumsum(lengths)
+        k, upto, begins = len(symbols), packed(x, len(symbols)), np.cumsum(spans) - spans if name == "base32" else np.cumsum(lengths) - lengths
+        counted: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for n in LENGTHS:
             rows = lengths // n
-            if rows.any():
-                starts = np.repeat(ends - lengths - n * (np.cumsum(rows) - rows), rows) + n * np.arange(rows.sum())
-                yield STRATA.index((name, n)), tested(x, upto, starts, n, len(symbols))
+            if not rows.any():
+                continue
+            before = np.cumsum(rows) - rows
+            starts = np.repeat(begins - n * before, rows) + n * np.arange(rows.sum())
+            if n // 2 in counted and n % 2 == 0:  # a text's rows of half the length, two by two
+                counts, half = counted[n // 2]
+                squares, counts = doubled(counts, np.repeat(half - 2 * before, rows) + 2 * np.arange(rows.sum()))
+            else:
+                squares, counts = squared(x, starts, n, k, keep=2 * n in LENGTHS)
+            if 2 * n in LENGTHS:
+                counted[n] = counts, before
+            total, square, product, up, changes = short_sums(upto, starts, n)
+            yield STRATA.index((name, n)), fisher(_uniform(n, k)[squares], _alternating(n)[up * n + changes], total, square, product, x[starts] + x[starts + n - 1], n)
 
 
 def grouped(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
